@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repair
+from . import drifting, repair
 
-QUERIES = {**repair.QUERIES}
+QUERIES = {**repair.QUERIES, **drifting.QUERIES}
 SQL = {**repair.SQL}
 
 
