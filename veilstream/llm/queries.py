@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut
-from . import bpe, mixing
+from . import bpe, mixing, toxicity
 
 #: Where the public tokenizers' files lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -59,5 +59,35 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(*_mixed(spark, folder))
 
 
-QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares}
+# --- p9: abusive, hateful, sexual content ---------------------------------------------------
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.found(_scored(spark, folder))
+
+
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder)
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.rates(table(spark, folder, "documents"), _scored(spark, folder))
+
+
+def p9_review(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviewers' labels against what was found: labels per category, and how many of them agree."""
+    labels = table(spark, folder, "doc_labels").select("doc_id", "category").distinct()
+    found = p9_found(spark, folder).withColumn("hit", F.lit(True))
+    any_hit = found.select("doc_id").distinct().withColumn("any_hit", F.lit(True))
+    both = labels.join(found, ["doc_id", "category"], "left").join(any_hit, "doc_id", "left")
+    agree = F.when(F.col("category") == "none", F.col("any_hit").isNull()).otherwise(F.col("hit").isNotNull())
+    return both.groupBy("category").agg(F.count(F.lit(1)).alias("n_labels"), F.sum(agree.cast("int")).alias("n_agree"))
+
+
+QUERIES = {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_review": p9_review, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares}
 SQL = {"p7_round_trip": "SELECT doc_id FROM documents WHERE false"}
