@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut
-from . import bpe, mixing, toxicity
+from . import bpe, mixing, pii, toxicity
 
 #: Where the public tokenizers' files lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -22,6 +22,28 @@ def ranks_path(folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken") ->
     return os.path.join(folder, name)
 
 
+# --- p4: personal information ---------------------------------------------------------------
+
+
+def pii_model(spark: SparkSession, folder: str) -> pii.PiiModel:
+    notes, visits = table(spark, folder, "notes"), table(spark, folder, "appointments")
+    people = [(table(spark, folder, "patients"), ["first_name", "middle_name"], ["last_name"])]
+    return pii.fit([(notes, "note_id", "body", False), (visits, "appointment_id", "intake_answers", True)], people)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    model = pii_model(spark, folder)
+    notes = pii.find(table(spark, folder, "notes"), "note_id", "body", False, "notes", model)
+    return notes.unionByName(pii.find(table(spark, folder, "appointments"), "appointment_id", "intake_answers", True, "appointments", model))
+
+
+def p4_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    model = pii_model(spark, folder)
+    notes = pii.redact(table(spark, folder, "notes"), "note_id", "body", False, model).select(F.lit("notes").alias("source_table"), F.col("note_id").alias("row_id"), "redacted")
+    visits = pii.redact(table(spark, folder, "appointments"), "appointment_id", "intake_answers", True, model)
+    return notes.unionByName(visits.select(F.lit("appointments").alias("source_table"), F.col("appointment_id").alias("row_id"), "redacted"))
+
+
 # --- p7: encoding --------------------------------------------------------------------------
 
 
@@ -89,5 +111,5 @@ def p9_review(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("category").agg(F.count(F.lit(1)).alias("n_labels"), F.sum(agree.cast("int")).alias("n_agree"))
 
 
-QUERIES = {"p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_review": p9_review, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares}
+QUERIES = {"p4_found": p4_found, "p4_redacted": p4_redacted, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_review": p9_review, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares}
 SQL = {"p7_round_trip": "SELECT doc_id FROM documents WHERE false"}

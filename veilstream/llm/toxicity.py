@@ -2,7 +2,8 @@
 
 One pass over all documents counts every combination of votes on their segments and draws a
 bounded sample of segments; the label model is fitted to the counts, a linear classifier to the
-sample's posteriors; a second pass scores every segment of every document.
+sample's posteriors; a second pass scores every segment of every document by the classifier, and
+by the label model where voters fire.
 """
 
 from __future__ import annotations
@@ -59,9 +60,17 @@ class ContentModel:
             own = [w for x in shared if (w := x[k]) is not None]
             if m:
                 own += [w for i, n in enumerate(voters.VOTERS[c]) if m >> i & 1 and (w := table.get(f"#{n}", (None,) * 3)[k]) is not None]
-            out.append(self.classifiers[c].probability(sum(own), len(own)))
+            p = self.classifiers[c].probability(sum(own), len(own))
+            out.append(max(p, self._label(c, m)) if m else p)
         return tuple(out)
 
+    def _label(self, category: str, mask: int) -> float:
+        """The label model's own posterior: clear votes count even where the sample held too few like them."""
+        known = self.__dict__.setdefault("_posteriors", {})
+        if (category, mask) not in known:
+            known[category, mask] = float(self.labels[category].posterior(np.array([mask]))[0])
+        return known[category, mask]
+
     def __getstate__(self):
         return {"labels": self.labels, "classifiers": self.classifiers}
 
