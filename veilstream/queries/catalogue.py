@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import drifting, repair
+from . import drifting, masking, repair, timeline
 
-QUERIES = {**repair.QUERIES, **drifting.QUERIES}
-SQL = {**repair.SQL}
+QUERIES = {**repair.QUERIES, **drifting.QUERIES, **masking.QUERIES, **timeline.QUERIES}
+SQL = {**repair.SQL, **masking.SQL, **timeline.SQL}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return repair.p1_found(spark, folder)
+    return masking.token_join_revenue(spark, folder)
