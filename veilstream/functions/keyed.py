@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,14 +48,21 @@ class Keys:
 
 
 class Kernel:
-    """Column builders bound to a session and keys."""
+    """Column builders bound to a session and keys.
+
+    Digests are helper columns: build all outputs first, then ``attach`` the helpers to the table the outputs are
+    selected from.  Each digest is then computed once a row, however many draws and characters are cut from it, and
+    the pads come in through one subquery.
+    """
+
+    PADS = "_veil_pads"
 
     def __init__(self, spark: SparkSession, keys: Keys, unicode: bool = True):
         """``unicode``: strings beyond ASCII are folded in Python (NFKC, casefold), which Spark has no function for."""
         self.keys, self.unicode = keys, unicode
-        inner, outer = keys.pads()
-        row = spark.createDataFrame([(inner, outer)], "inner_pad binary, outer_pad binary")
-        self._inner, self._outer = row.select("inner_pad").scalar(), row.select("outer_pad").scalar()
+        row = spark.createDataFrame([keys.pads()], "inner_pad binary, outer_pad binary")
+        self._pads = row.select(F.struct("inner_pad", "outer_pad").alias("pads")).scalar()
+        self._helpers: dict[tuple[str, str], tuple[str, Column]] = {}
 
     def canonical(self, c: Column, kind: T.DataType) -> Column:
         """The bytes a value hashes as: numbers as decimal text, strings folded, binary as it is; null stays null."""
@@ -66,15 +73,29 @@ class Kernel:
         return F.encode(F.lower(c.cast("string")) if isinstance(kind, T.BooleanType) else c.cast("string"), "UTF-8")
 
     def digest(self, purpose: str, canonical: Column) -> Column:
-        """HMAC-SHA256 of purpose and message as 64 hex digits."""
-        head = F.lit(purpose.encode() + UNIT)
-        inside = F.unhex(F.sha2(F.concat(self._inner, head, canonical), 256))
-        return F.sha2(F.concat(self._outer, inside), 256)
+        """HMAC-SHA256 of purpose and message as 64 hex digits; a helper column."""
+        key = purpose, str(canonical)
+        if key not in self._helpers:
+            head = F.lit(purpose.encode() + UNIT)
+            inside = F.unhex(F.sha2(F.concat(F.col(self.PADS)["inner_pad"], head, canonical), 256))
+            self._helpers[key] = f"_veil_digest_{len(self._helpers)}", F.sha2(F.concat(F.col(self.PADS)["outer_pad"], inside), 256)
+        return F.col(self._helpers[key][0])
 
     def anchor_digest(self, purpose: str, c: Column, kind: T.DataType) -> Column:
         """Digest of an entity's key; all null keys share one."""
         return self.digest(purpose, F.coalesce(self.canonical(c, kind), F.lit(NONE)))
 
+    def attach(self, df: DataFrame) -> DataFrame:
+        """``df`` with the helper columns of all digests asked for so far.
+
+        They come out of a one-row generator: a join on tokens puts a null check on them below the projection, which
+        would work out every digest again, and a filter on a generated column cannot sink below its generator.
+        """
+        if not self._helpers:
+            return df
+        digests = F.struct(*[c.alias(name) for name, c in self._helpers.values()])
+        return df.withColumn(self.PADS, self._pads).select("*", F.inline(F.array(digests)))
+
 
 def _python_fold(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else " ".join(unicodedata.normalize("NFKC", v).strip().casefold().split()), na_action="ignore")

@@ -146,7 +146,7 @@ def age_band(age: Column, cap: int | None) -> Column:
 def _day(inner: Any, name: str | None) -> Callable[[Column], Column]:
     """The calendar day of a column: its own type's, or of the local time a zoned string spells."""
     if name == avro.ZONED:
-        return lambda c: _parts(c)[0]
+        return lambda c: _iso(c, lambda day, *_: day)
     if name == avro.NANO:
         return lambda c: F.date_add(F.lit("1970-01-01").cast("date"), F.floor(c / F.lit(86_400_000_000_000)).cast("int"))
     return lambda c: c.cast("date")
@@ -187,23 +187,38 @@ def _generalize(rule, raw, keys):
 _ISO = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2})?(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def _parts(c: Column) -> tuple[Column, Column, Column, Column]:
-    """Day, time of day, microseconds as '.ffffff' or '', offset of an ISO string; day is null if it cannot be read."""
-    at = lambda i: F.regexp_extract(c, _ISO, i)
-    clock = F.when(at(2) == "", F.lit("00:00:00")).otherwise(F.concat(at(2), F.when(at(3) == "", F.lit(":00")).otherwise(at(3))))
-    valid = c.rlike(_ISO) & clock.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$")
-    micros = F.rpad(F.substring(at(4), 2, 6), 6, "0")
-    fraction = F.when((at(4) == "") | (micros == "000000"), F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    offset = F.regexp_replace(at(5), r"^([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(valid, at(1).try_cast("date")), clock, fraction, offset
+def _let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
+def _iso(c: Column, body: Callable[[Column, Column, Column, Column], Column]) -> Column:
+    """``body`` of day, time of day, fraction and offset of an ISO string; null where it cannot be read.
+
+    One pass of the pattern a value: its groups are joined and split again.
+    """
+
+    def parts(p: Column) -> Column:
+        day, minute, second, fraction, offset = (F.get(p, F.lit(i)) for i in range(5))
+        valid = (F.size(p) == 5) & (minute < "24") & (F.substring(minute, 4, 1) < "6") & (F.substring(second, 2, 1) < "6")
+        clock = F.when(minute == "", F.lit("00:00:00")).otherwise(F.concat(minute, F.when(second == "", F.lit(":00")).otherwise(second)))
+        micros = F.rpad(F.substring(fraction, 2, 6), 6, "0")
+        tail = F.when((fraction == "") | (micros == "000000"), F.lit("")).otherwise(F.concat(F.lit("."), micros))
+        zone = F.when(F.length(offset) == 5, F.concat(F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2))).otherwise(offset)
+        return F.when(valid, body(day.try_cast("date"), clock, tail, zone))
+
+    return _let(F.split(F.regexp_replace(c, _ISO, "$1|$2|$3|$4|$5"), r"\|"), parts)
 
 
 def shift_zoned(c: Column, days: Column) -> Column:
     """An ISO string moved by whole days, its offset (or Z) kept; null where it cannot be read or leaves years 1 to 9999."""
-    day, clock, fraction, offset = _parts(c)
-    moved = F.date_add(day, days.cast("int"))
-    good = moved.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
-    return F.when(good, F.concat(F.date_format(moved, "yyyy-MM-dd"), F.lit("T"), clock, fraction, offset))
+
+    def moved(day: Column, clock: Column, fraction: Column, offset: Column) -> Column:
+        to = F.date_add(day, days.cast("int"))
+        good = to.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+        return F.when(good, F.concat(to.cast("string"), F.lit("T"), clock, fraction, offset))
+
+    return _iso(c, moved)
 
 
 def _date_shift(rule, raw, keys):

@@ -6,25 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keyed import Kernel, Keys, signed_draw
-from ..operators.deid import JITTER_SPAN, MAX_SHIFT_DAYS
+from ..functions.keyed import Kernel, Keys, signed_draw, token
+from ..operators.deid import Built
 from . import avro
 from .policy import Policy
-from .schema import RowPlan, SchemaError, plan_row, plan_table
+from .schema import SchemaError, plan_row, plan_table
 
-_SPANS = {"date_shift": MAX_SHIFT_DAYS, "numeric_jitter": JITTER_SPAN}
-
-
-def _draws(plan: RowPlan, get, kinds: dict[str, T.DataType], kernel: Kernel, prefix: str) -> dict[tuple[str, str], tuple[str, Column]]:
-    """One helper column per (purpose, anchor) that the table's rules need."""
-    out = {}
-    for b in plan.kept:
-        if b.anchor:
-            key = (b.rule.op.name, b.anchor)
-            if key not in out:
-                digest = kernel.anchor_digest(b.rule.op.name, get(b.anchor), kinds[b.anchor])
-                out[key] = (f"_{prefix}{b.rule.op.name}_{b.anchor}", signed_draw(digest, 0, _SPANS[b.rule.op.name]))
-    return out
+def _draw(b: Built, kernel: Kernel, anchor: Column | None, kinds: dict[str, T.DataType]) -> Column | None:
+    """The draw of an anchored operation; operations with one purpose and anchor share its digest."""
+    if b.anchor is None:
+        return None
+    return signed_draw(kernel.anchor_digest(b.rule.op.name, anchor, kinds[b.anchor]), 0, b.span)
 
 
 def clean_table(df: DataFrame, policy: Policy, table: str, keys: Keys, unicode: bool = True) -> DataFrame:
@@ -36,14 +28,12 @@ def clean_table(df: DataFrame, policy: Policy, table: str, keys: Keys, unicode:
     plan = plan_table(df.schema, policy, table, keys)
     kernel = Kernel(df.sparkSession, keys, unicode)
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    draws = _draws(plan, lambda c: F.col(f"`{c}`"), kinds, kernel, "")
-    if draws:
-        df = df.withColumns({name: c for name, c in draws.values()})
-    out = []
-    for b in plan.kept:
-        d = F.col(draws[b.rule.op.name, b.anchor][0]) if b.anchor else None
-        out.append(b.apply(kernel, F.col(f"`{b.rule.column}`"), d).alias(b.rule.column, metadata=avro.declared(b.clean)))
-    return df.select(*out)
+    raw = lambda c: F.col(f"`{c}`")
+    out = [
+        b.apply(kernel, raw(b.rule.column), _draw(b, kernel, raw(b.anchor), kinds) if b.anchor else None).alias(b.rule.column, metadata=avro.declared(b.clean))
+        for b in plan.kept
+    ]
+    return kernel.attach(df).select(*out)
 
 
 def clean_envelope(df: DataFrame, policy: Policy, table: str, keys: Keys, unicode: bool = True) -> DataFrame:
@@ -59,27 +49,19 @@ def clean_envelope(df: DataFrame, policy: Policy, table: str, keys: Keys, unicod
     plan = plan_row([{"name": f.name, "type": avro.avro_type(f)} for f in images["after"].fields], policy, table, keys)
     kernel = Kernel(df.sparkSession, keys, unicode)
     kinds = {f.name: f.dataType for f in images["after"].fields}
-    sides, helpers = {}, {}
+    sides = {}
     for side in ("before", "after"):
-        draws = _draws(plan, lambda c, side=side: F.col(side)[c], kinds, kernel, f"{side}_")
-        helpers |= {name: c for name, c in draws.values()}
-        image = F.struct(*[
-            b.apply(kernel, F.col(side)[b.rule.column], F.col(draws[b.rule.op.name, b.anchor][0]) if b.anchor else None).alias(b.rule.column)
-            for b in plan.kept
-        ])
-        sides[side] = F.when(F.col(side).isNotNull(), image).alias(side)
-    names = df.columns
-    if helpers:
-        df = df.withColumns(helpers)
-    return df.select(*[sides.get(c, F.col(f"`{c}`")) for c in names])
+        image = F.col(side)
+        fields = [b.apply(kernel, image[b.rule.column], _draw(b, kernel, image[b.anchor], kinds) if b.anchor else None).alias(b.rule.column) for b in plan.kept]
+        sides[side] = F.when(image.isNotNull(), F.struct(*fields)).alias(side)
+    return kernel.attach(df).select(*[sides.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def clean_key(df: DataFrame, column: str, domain: str, keys: Keys, unicode: bool = True) -> DataFrame:
     """A record key hashed under its primary key's domain, so that it still finds its row."""
     kernel = Kernel(df.sparkSession, keys, unicode)
-    from ..functions.keyed import token
-
-    return df.withColumn(column, token(kernel.digest("hmac:" + domain, kernel.canonical(F.col(column), df.schema[column].dataType))))
+    clean = token(kernel.digest("hmac:" + domain, kernel.canonical(F.col(column), df.schema[column].dataType)))
+    return kernel.attach(df).select(*[clean.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
 
 
 def required_violations(df: DataFrame) -> dict[str, int]:
