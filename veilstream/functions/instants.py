@@ -13,6 +13,7 @@ def read_instant(c: Column) -> Column:
     """A zoned string as timestamp; null where it cannot be read (no offset, impossible date, other text)."""
     tidy = F.upper(F.trim(c))
     tidy = F.regexp_replace(tidy, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    tidy = F.regexp_replace(tidy, r"([T ]\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})$", "$1:00$2")
     return F.when(c.rlike(ZONED), tidy.try_cast("timestamp"))
 
 

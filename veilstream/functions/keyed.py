@@ -143,7 +143,7 @@ def pick(hex_digest: Column, slot: int, choices: list[str]) -> Column:
 
 
 def clamp(c: Column, kind: T.DataType) -> Column:
-    """A decimal kept inside the range of int or bigint."""
+    """A decimal kept inside the range of int or bigint; null stays null (greatest and least would skip it)."""
     low, high = (-(2**31), 2**31 - 1) if isinstance(kind, T.IntegerType) else (-(2**63), 2**63 - 1)
     wide = "decimal(38,0)"
-    return F.greatest(F.least(c, F.lit(high).cast(wide)), F.lit(low).cast(wide)).cast(kind)
+    return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(high).cast(wide)), F.lit(low).cast(wide)).cast(kind))

@@ -136,8 +136,9 @@ def icd10_category(c: Column) -> Column:
 
 def age_band(age: Column, cap: int | None) -> Column:
     """Decade of a whole age, as '30-39'; above ``cap`` as '90+'; null for negative ages."""
-    low = (F.floor(age / 10) * 10).cast("int")
-    band = F.concat(low.cast("string"), F.lit("-"), (low + 9).cast("string"))
+    whole = age.cast("decimal(20,0)")
+    low = (whole - whole % 10).cast("decimal(20,0)")
+    band = F.concat(low.cast("string"), F.lit("-"), (low + 9).cast("decimal(20,0)").cast("string"))
     if cap is not None:
         band = F.when(age > cap, F.lit(f"{cap + 1}+")).otherwise(band)
     return F.when(age >= 0, band)
