@@ -27,6 +27,7 @@ class SourcePlan:
     n_tokens: int
     wanted_share: float
     rate: float
+    reachable_share: float = 0.0  # wanted, among the sources that can give anything
 
 
 def plan_mix(rows: list[tuple[str, float | None, int | None, int, int]], total_tokens: int | None = None) -> list[SourcePlan]:
@@ -63,7 +64,9 @@ def plan_mix(rows: list[tuple[str, float | None, int | None, int, int]], total_t
                     open_.remove(s)
     asked = sum(weight.values())
     return [
-        SourcePlan(s, float(w or 0.0), int(cap[s]), d, t, float(weight[s] / asked) if asked else 0.0, float(rate[s]))
+        SourcePlan(
+            s, float(w or 0.0), int(cap[s]), d, t, float(weight[s] / asked) if asked else 0.0, float(rate[s]), float(weight[s] / sum(weight[x] for x in live)) if s in live else 0.0
+        )
         for s, w, _, d, t in rows
     ]
 
@@ -125,11 +128,12 @@ def shares(mixed: DataFrame, plan: list[SourcePlan]) -> DataFrame:
     """One row per target source: wanted and actual share, what was available and what the mix uses.
 
     ``gap`` is actual minus wanted share; it is not zero where a source has no tokens or its cap binds.
+    ``reachable_share`` is the wanted share among the sources that have tokens.
     """
     spark = mixed.sparkSession
     asked = spark.createDataFrame(
-        [(p.source, p.target_weight, p.max_repeats, p.n_docs, p.n_tokens, p.wanted_share, p.rate) for p in plan],
-        "source string, target_weight double, max_repeats int, source_docs bigint, source_tokens bigint, wanted_share double, rate double",
+        [(p.source, p.target_weight, p.max_repeats, p.n_docs, p.n_tokens, p.wanted_share, p.reachable_share, p.rate) for p in plan],
+        "source string, target_weight double, max_repeats int, source_docs bigint, source_tokens bigint, wanted_share double, reachable_share double, rate double",
     )
     used = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("mix_docs"), F.sum("n_tokens").alias("mix_tokens"), F.max("copy_no").alias("most_copies"))
     out = asked.join(used, "source", "left").fillna(0, ["mix_docs", "mix_tokens", "most_copies"])
