@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import drifting, flow, masking, repair, timeline
 
 QUERIES = {**repair.QUERIES, **drifting.QUERIES, **masking.QUERIES, **timeline.QUERIES, **flow.QUERIES}
-SQL = {**repair.SQL, **masking.SQL, **timeline.SQL, **flow.SQL}
+SQL = {**repair.SQL, **drifting.SQL, **masking.SQL, **timeline.SQL, **flow.SQL}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import apportion, cascade, fingerprint, ledger
+from ..operators import apportion, cascade, fingerprint, identify, ledger
 from .repair import table
 
 QUERIES: dict = {}
@@ -222,6 +222,29 @@ def ordered_listing(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").groupBy("c_nationkey").agg(F.array_join(F.sort_array(F.collect_set("c_mktsegment")), ", ").alias("segments"))
 
 
+@query("SELECT c_name, c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) AS id FROM (SELECT reverse(c_name) AS c_name, c_custkey FROM customer)")
+def assigned_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Surrogate keys in the order of a natural key."""
+    df = table(spark, folder, "customer").select(F.reverse("c_name").alias("c_name"), "c_custkey")
+    return identify.dense_ids(df, ["c_name", "c_custkey"])
+
+
+@query("SELECT s_suppkey, s_name, position('0' IN s_name) AS at FROM supplier WHERE s_name LIKE '%0%' AND s_name NOT LIKE '%!_%' ESCAPE '!' AND s_name NOT LIKE '%7' AND s_nationkey IN (1, 3, 5, 7, 9)")
+def pattern_predicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Patterns with an escape, their negation, membership and position."""
+    df = table(spark, folder, "supplier")
+    keep = F.col("s_name").like("%0%") & F.expr("s_name NOT LIKE '%!_%' ESCAPE '!'") & ~F.col("s_name").like("%7") & F.col("s_nationkey").isin(1, 3, 5, 7, 9)
+    return df.where(keep).select("s_suppkey", "s_name", F.instr("s_name", "0").alias("at"))
+
+
+@query("SELECT appointment_id, json_extract_string(intake_answers, '$.reason') AS reason FROM (SELECT DISTINCT appointment_id, intake_answers FROM appointments WHERE json_valid(intake_answers)) WHERE json_extract_string(intake_answers, '$.reason') IS NOT NULL AND json_extract_string(intake_answers, '$.pain_scale') IS NULL")
+def json_predicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with one field in their JSON and without another; what is no JSON has none."""
+    df = table(spark, folder, "appointments").select("appointment_id", "intake_answers").distinct().withColumn("v", F.try_parse_json("intake_answers"))
+    field = lambda name: F.try_variant_get("v", f"$.{name}", "string")
+    return df.where(field("reason").isNotNull() & field("pain_scale").isNull()).select("appointment_id", field("reason").alias("reason"))
+
+
 # --- fingerprints and apportionment --------------------------------------------------------------------------
 
 

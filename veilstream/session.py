@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,18 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package wherever the driver was started.
+
+    Adds the package's folder to the workers' path.  Executors on other machines need the package installed, or
+    shipped with ``--py-files``.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), home) if x)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for lineage cuts and side tables.
 
