@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
 from ..operators.apportion import largest_remainder, spread_instants
+from ..operators.identify import dense_ids
 
 # How many of each, and the awkward cases that are always there.
 AMOUNTS = ["0.00", "0.07", "1234.56", "0.10", "99999999.99"]
@@ -89,7 +90,7 @@ def population(spark: SparkSession, seed: int = 42, size: Size = Size()) -> dict
     weight = F.when(i < size.patients * 9 / 10, 1 / ((i + 1) * (i + 1)) + F.lit(0.004)).otherwise(F.lit(0.0))
     visits = largest_remainder(spark.range(size.patients), "id", weight, size.appointments, "n")
     visits = visits.where("n > 0").select((i + 1).alias("patient_id"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
-    numbered = visits.withColumn("appointment_id", F.row_number().over(Window.orderBy("patient_id", "k")).cast("bigint"))
+    numbered = dense_ids(visits, ["patient_id", "k"], "appointment_id")
     v = F.col("appointment_id")
     appointments = numbered.select(
         v, "patient_id", (d.number("prov", v, size.providers) + 1).alias("provider_id"), stamp("at", v, 1000).alias("scheduled_at"), d.choice("dur", v, [15, 20, 30, 45, 60]).alias("duration_minutes"),
