@@ -27,7 +27,7 @@ def ranks_path(folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken") ->
 
 def pii_model(spark: SparkSession, folder: str) -> pii.PiiModel:
     notes, visits = table(spark, folder, "notes"), table(spark, folder, "appointments")
-    people = [(table(spark, folder, "patients"), ["first_name", "middle_name"], ["last_name"])]
+    people = [(table(spark, folder, "patients"), ["first_name", "middle_name"], ["last_name"]), (table(spark, folder, "providers"), [], [], ["full_name"])]
     return pii.fit([(notes, "note_id", "body", False), (visits, "appointment_id", "intake_answers", True)], people)
 
 
