@@ -66,3 +66,16 @@ def test_documents(spark):
     assert again == hits
     empty = df.limit(0)
     assert toxicity.score_documents(empty, toxicity.fit(empty)).count() == 0
+
+
+def test_the_classifier_alone_scores():
+    silent = {c: LinearClassifier({}, -3.0) for c in voters.CATEGORIES}
+    certain = {c: LabelModel(voters.VOTERS[c], lambda m: 0.95 if m else 0.0).fit(np.array([0, 1]), np.array([99, 1])) for c in voters.CATEGORIES}
+    assert max(toxicity.ContentModel(certain, silent).score("you worthless idiot")) < 0.1
+
+
+def test_the_sample_holds_segments_of_rare_voters(spark):
+    docs = [(i, f"you worthless idiot number {i}") for i in range(3000)] + [(9000 + i, f"bend over for me, sexy, i want to taste you {i}") for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    scores = toxicity.score_documents(df.where("doc_id >= 9000"), toxicity.fit(df, sample=20)).collect()
+    assert all(r.sexual >= 0.5 for r in scores)

@@ -2,8 +2,7 @@
 
 One pass over all documents counts every combination of votes on their segments and draws a
 bounded sample of segments; the label model is fitted to the counts, a linear classifier to the
-sample's posteriors; a second pass scores every segment of every document by the classifier, and
-by the label model where voters fire.
+sample's posteriors; a second pass scores every segment of every document by the classifier.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -60,35 +59,30 @@ class ContentModel:
             own = [w for x in shared if (w := x[k]) is not None]
             if m:
                 own += [w for i, n in enumerate(voters.VOTERS[c]) if m >> i & 1 and (w := table.get(f"#{n}", (None,) * 3)[k]) is not None]
-            p = self.classifiers[c].probability(sum(own), len(own))
-            out.append(max(p, self._label(c, m)) if m else p)
+            out.append(self.classifiers[c].probability(sum(own), len(own)))
         return tuple(out)
 
-    def _label(self, category: str, mask: int) -> float:
-        """The label model's own posterior: clear votes count even where the sample held too few like them."""
-        known = self.__dict__.setdefault("_posteriors", {})
-        if (category, mask) not in known:
-            known[category, mask] = float(self.labels[category].posterior(np.array([mask]))[0])
-        return known[category, mask]
-
     def __getstate__(self):
         return {"labels": self.labels, "classifiers": self.classifiers}
 
 
 #: Belief from which a segment counts as a likely hit when the sample is drawn.
 LIKELY = 0.25
+#: Likely segments of each voter that the sample holds at least, if there are so many.
+EACH = 200
 
 _SURVEY = "kind string, category int, mask int, n bigint, draw double, segment string, votes array<int>"
 
 
 def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int) -> DataFrame:
-    """Counts of vote combinations over all segments, and the sample's segments (likely hits and others)."""
+    """Counts of vote combinations over all segments, and the sample's segments (likely hits, those of each voter, and others)."""
     share = {True: min(1.0, 4.0 * sample / max(1, n_docs)), False: min(1.0, 1.0 * sample / max(1, n_docs))}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             counts: Counter = Counter()
             drawn = []
+            by_voter: dict[tuple[int, int], list] = {}
             for i, t in zip(p[id_column], p[text]):
                 if not isinstance(t, str):
                     continue
@@ -97,17 +91,24 @@ def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int)
                     for c, m in enumerate(masks):
                         counts[c, m] += 1
                     draw = xxhash.xxh64_intdigest(f"{i}:{k}") / 2**64
-                    likely = any(voters.belief(c, m) >= LIKELY for c, m in zip(voters.CATEGORIES, masks) if m)
+                    likely = False
+                    for c, m in enumerate(masks):
+                        if m and voters.belief(voters.CATEGORIES[c], m) >= LIKELY:
+                            likely = True
+                            for v in range(m.bit_length()):
+                                if m >> v & 1:
+                                    by_voter.setdefault((c, v), []).append((draw, s, list(masks)))
                     if draw < share[likely]:
                         drawn.append(("likely" if likely else "other", None, None, None, draw, s, list(masks)))
             rows = [("count", c, m, n, None, None, None) for (c, m), n in counts.items()] + drawn
+            rows += [("voter", c, v, None, *x) for (c, v), own in by_voter.items() for x in sorted(own)[:EACH]]
             yield pd.DataFrame(rows, columns=["kind", "category", "mask", "n", "draw", "segment", "votes"]).astype({"category": "Int32", "mask": "Int32", "n": "Int64"})
 
     return docs.select(id_column, text).mapInPandas(run, _SURVEY)
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", sample: int = 6000) -> ContentModel:
-    """Label models from all documents; classifiers from at most ``sample`` likely hits and ``sample`` other segments.
+    """Label models from all documents; classifiers from at most ``sample`` likely hits, ``EACH`` more a voter and ``sample`` other segments.
 
     What reaches the driver: at most 2^voters combinations a category (counted over all documents) and the sample.
     An empty corpus gives a model that scores nothing.
@@ -117,6 +118,10 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", sample:
     rows = []
     for kind in ("likely", "other"):
         rows += seen.where(F.col("kind") == kind).orderBy("draw").limit(sample).select("segment", "votes").collect()
+    first = F.row_number().over(Window.partitionBy("category", "mask").orderBy("draw", "segment"))
+    rare = seen.where("kind = 'voter'").withColumn("k", first).where(F.col("k") <= EACH).select("draw", "segment", "votes").distinct().collect()
+    held = {r.segment for r in rows}
+    rows += [r for r in sorted(rare, key=lambda r: (r.draw, r.segment)) if r.segment not in held]
     labels, classifiers = {}, {}
     for c, name in enumerate(voters.CATEGORIES):
         own = [(r.mask, r.n) for r in counts if r.category == c]
