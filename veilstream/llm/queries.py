@@ -84,9 +84,9 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 # --- p9: abusive, hateful, sexual content ---------------------------------------------------
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
+def _scored(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return toxicity.score_documents(docs, toxicity.fit(docs))
+    return toxicity.score_documents(docs, toxicity.fit(docs), keep=keep)
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +98,7 @@ def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return toxicity.rates(table(spark, folder, "documents"), _scored(spark, folder))
+    return toxicity.rates(_scored(spark, folder, ("source",)))
 
 
 def p9_review(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,15 +2,16 @@
 
 One pass over all documents counts every combination of votes on their segments and draws a
 bounded sample of segments; the label model is fitted to the counts, a linear classifier to the
-sample's posteriors; a second pass scores every segment of every document by the classifier.
+sample's posteriors; a second pass scores every segment of every document by the classifier alone,
+which sees words and their classes but no vote.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from . import voters
-from .weaklabels import LabelModel, LinearClassifier, features
+from .weaklabels import LabelModel, LinearClassifier, belief, features, fit_linear, joint_features, own_features
 
 
 @dataclass
@@ -43,24 +44,28 @@ class ContentModel:
         if got is None:
             if len(known) > 100_000:
                 known.clear()
-            got = known[s] = self._judge(s)
+            got = known[s] = self._judge(voters.words(voters.repair(s)))
         return got
 
-    def _judge(self, s: str) -> tuple[float, ...]:
-        table = self.__dict__.get("_table")
-        if table is None:  # weights of all categories side by side
+    def _judge(self, words: list[str]) -> tuple[float, ...]:
+        """The classifiers' weights of all categories side by side; a word's own features are summed up once per worker."""
+        if "_table" not in self.__dict__:
             each = [self.classifiers[c] for c in voters.CATEGORIES]
-            table = self._table = {f: [k.weights.get(f) for k in each] for k in each for f in k.weights}
-        r, masks = voters.judged(s)
-        words = voters.WORD.findall(r)
-        shared = [table[f] for f in {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))} if f in table]
-        out = []
-        for k, (c, m) in enumerate(zip(voters.CATEGORIES, masks)):
-            own = [w for x in shared if (w := x[k]) is not None]
-            if m:
-                own += [w for i, n in enumerate(voters.VOTERS[c]) if m >> i & 1 and (w := table.get(f"#{n}", (None,) * 3)[k]) is not None]
-            out.append(self.classifiers[c].probability(sum(own), len(own)))
-        return tuple(out)
+            self._table = {f: tuple(k.weights.get(f, 0.0) for k in each) for k in each for f in k.weights}
+            self._bias, self._words = [k.bias for k in each], {}
+        table, own = self._table, self._words
+        parts = []
+        for w in words:
+            v = own.get(w)
+            if v is None:
+                if len(own) > 300_000:
+                    own.clear()
+                got = [table[f] for f in own_features(w, voters.classes(w)) if f in table]
+                v = own[w] = tuple(map(sum, zip(*got))) if got else ()
+            if v:
+                parts.append(v)
+        parts += [table[f] for f in joint_features(words, voters.classes) if f in table]
+        return tuple(1 / (1 + math.exp(-max(-30.0, min(30.0, b + sum(p[k] for p in parts))))) for k, b in enumerate(self._bias))
 
     def __getstate__(self):
         return {"labels": self.labels, "classifiers": self.classifiers}
@@ -76,6 +81,13 @@ _SURVEY = "kind string, category int, mask int, n bigint, draw double, segment s
 
 def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int) -> DataFrame:
     """Counts of vote combinations over all segments, and the sample's segments (likely hits, those of each voter, and others)."""
+    known: dict[tuple[int, int], float] = {}
+
+    def believed(c: int, m: int) -> float:
+        if (c, m) not in known:
+            known[c, m] = float(belief(voters.WORTH[voters.CATEGORIES[c]], np.array([m]))[0])
+        return known[c, m]
+
     share = {True: min(1.0, 4.0 * sample / max(1, n_docs)), False: min(1.0, 1.0 * sample / max(1, n_docs))}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,7 +105,7 @@ def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int)
                     draw = xxhash.xxh64_intdigest(f"{i}:{k}") / 2**64
                     likely = False
                     for c, m in enumerate(masks):
-                        if m and voters.belief(voters.CATEGORIES[c], m) >= LIKELY:
+                        if m and believed(c, m) >= LIKELY:
                             likely = True
                             for v in range(m.bit_length()):
                                 if m >> v & 1:
@@ -122,35 +134,31 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", sample:
     rare = seen.where("kind = 'voter'").withColumn("k", first).where(F.col("k") <= EACH).select("draw", "segment", "votes").distinct().collect()
     held = {r.segment for r in rows}
     rows += [r for r in sorted(rare, key=lambda r: (r.draw, r.segment)) if r.segment not in held]
-    labels, classifiers = {}, {}
+    labels, soft = {}, np.zeros((len(rows), len(voters.CATEGORIES)))
     for c, name in enumerate(voters.CATEGORIES):
         own = [(r.mask, r.n) for r in counts if r.category == c]
-        model = LabelModel(voters.VOTERS[name], partial(voters.belief, name)).fit(np.array([m for m, _ in own], np.int64), np.array([n for _, n in own], float))
-        masks = np.array([r.votes[c] for r in rows], np.int64)
-        soft = model.posterior(masks) if len(rows) else np.zeros(0)
-        soft = soft**2 / (soft**2 + (1 - soft) ** 2)  # sharper, so that doubt does not pull clear hits under the threshold
-        made = [features(voters.repair(r.segment), int(m), voters.VOTERS[name], voters.WORD.findall) for r, m in zip(rows, masks)]
-        many = max(1.0, soft.sum())
-        weight = np.where(soft > 0.5, np.clip(len(rows) / (2 * many), 1, 4), 1.0)
-        labels[name], classifiers[name] = model, LinearClassifier().fit(made, soft, weight)
-    return ContentModel(labels, classifiers)
+        model = labels[name] = LabelModel(voters.VOTERS[name], voters.WORTH[name]).fit(np.array([m for m, _ in own], np.int64), np.array([n for _, n in own], float))
+        soft[:, c] = model.posterior(np.array([r.votes[c] for r in rows], np.int64))
+    made = [features(voters.words(voters.repair(r.segment)), voters.classes) for r in rows]
+    return ContentModel(labels, dict(zip(voters.CATEGORIES, fit_linear(made, soft))))
 
 
-def score_documents(docs: DataFrame, model: ContentModel, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id_column``, abusive, hateful, sexual: scores in [0, 1] of every row; null, empty and blank texts have 0.
+def score_documents(docs: DataFrame, model: ContentModel, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id_column``, the columns ``keep``, abusive, hateful, sexual: scores in [0, 1] of every row; null, empty and blank texts have 0.
 
     Rows are kept one for one.  Whole texts count, however long.  The broadcast model is bounded by the sample.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_column].dataType.simpleString()
+    named = [id_column, *keep]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for p in batches:
             s = np.array([m.score(t if isinstance(t, str) else None) for t in p[text]], float).reshape(len(p), len(voters.CATEGORIES))
-            yield pd.DataFrame({id_column: p[id_column], **{c: s[:, k] for k, c in enumerate(voters.CATEGORIES)}})
+            yield pd.DataFrame({**{c: p[c] for c in named}, **{c: s[:, k] for k, c in enumerate(voters.CATEGORIES)}})
 
-    return docs.select(id_column, text).mapInPandas(run, f"`{id_column}` {kind}, " + ", ".join(f"{c} double" for c in voters.CATEGORIES))
+    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in named] + [f"{c} double" for c in voters.CATEGORIES]
+    return docs.select(*named, text).mapInPandas(run, ", ".join(schema))
 
 
 def found(scores: DataFrame, id_column: str = "doc_id", threshold: float = 0.5) -> DataFrame:
@@ -159,9 +167,11 @@ def found(scores: DataFrame, id_column: str = "doc_id", threshold: float = 0.5)
     return scores.select(id_column, F.explode(F.filter(each, lambda x: x.isNotNull())).alias("category")).distinct()
 
 
-def rates(docs: DataFrame, scores: DataFrame, id_column: str = "doc_id", source: str = "source", threshold: float = 0.5) -> DataFrame:
-    """Documents and rates per source and category; documents without a source are one group (null)."""
-    joined = docs.select(id_column, source).join(scores, id_column)
-    long = joined.select(source, F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in voters.CATEGORIES])).alias("s"))
+def rates(scores: DataFrame, source: str = "source", threshold: float = 0.5) -> DataFrame:
+    """Documents and rates per source and category, from scores that kept the source; documents without one are a group (null).
+
+    One partial aggregation of the scored rows: the scores are not joined to the documents again.
+    """
+    long = scores.select(source, F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in voters.CATEGORIES])).alias("s"))
     hit = (F.col("s.score") >= threshold).cast("int")
     return long.groupBy(source, F.col("s.category").alias("category")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(hit).alias("n_found"), F.avg(hit).alias("rate"), F.avg("s.score").alias("mean_score"))
