@@ -33,7 +33,7 @@ _LEAF = (
     f"CASE WHEN {zoned_sql('x')} IS NOT NULL THEN (epoch_us({zoned_sql('x')}) // 1000)::DECIMAL(38,8)::VARCHAR WHEN regexp_full_match(trim(x), '-?\\d+(\\.\\d+)?') THEN try_cast(trim(x) AS DECIMAL(38,8))::VARCHAR"
     " WHEN x = 'true' THEN 1::DECIMAL(38,8)::VARCHAR WHEN x = 'false' THEN 0::DECIMAL(38,8)::VARCHAR ELSE lower(trim(x)) END"
 )
-_P2_SQL = f"""
+_P2_WITH = f"""
 WITH RECURSIVE env AS (SELECT DISTINCT topic, file_name, line_no, payload::JSON AS j FROM envelope_files WHERE json_valid(payload)),
 files AS (SELECT topic, file_name, row_number() OVER (PARTITION BY topic ORDER BY min((j->'source'->>'ts_ms')::BIGINT) NULLS LAST, file_name) AS seq FROM env GROUP BY 1, 2),
 images AS (SELECT topic, file_name, seq, line_no, (j->'source'->>'lsn')::BIGINT AS lsn, j->'after' AS a, coalesce(j->'source'->>'table', split_part(topic, '.', -1)) AS tbl FROM env JOIN files USING (topic, file_name) WHERE json_type(j->'after') = 'OBJECT'),
@@ -64,7 +64,8 @@ nodes AS (
 ), up AS (SELECT topic, child, parent, 1 AS depth FROM edges UNION ALL SELECT u.topic, u.child, e.parent, depth + 1 FROM up u JOIN edges e ON e.topic = u.topic AND e.child = u.parent),
 roots AS (SELECT topic, child AS node, arg_max(parent, depth) AS root FROM up GROUP BY 1, 2),
 typed AS (SELECT n.topic, n.seq, n.field, n.kind, lag(n.kind) OVER (PARTITION BY n.topic, coalesce(r.root, n.node) ORDER BY n.seq) AS was FROM nodes n LEFT JOIN roots r USING (topic, node) WHERE n.kind IS NOT NULL)
-SELECT topic, file_name, field_name, change_kind, new_name FROM (
+"""
+_P2_SQL = _P2_WITH + """SELECT topic, file_name, field_name, change_kind, new_name FROM (
   SELECT topic, seq, field AS field_name, 'added' AS change_kind, '' AS new_name FROM fresh WHERE (topic, seq, field) NOT IN (SELECT topic, seq, new FROM renames)
   UNION ALL SELECT topic, seq, field, 'removed', '' FROM gone WHERE (topic, seq, field) NOT IN (SELECT topic, seq, old FROM renames)
   UNION ALL SELECT topic, seq, old, 'renamed', new FROM renames
@@ -72,4 +73,11 @@ SELECT topic, file_name, field_name, change_kind, new_name FROM (
 ) JOIN files USING (topic, seq)
 """
 
-SQL = {"p2_found": _P2_SQL}
+_P2_SCHEMA_SQL = _P2_WITH + """,
+attrs AS (SELECT n.topic, n.seq, n.field, regexp_replace(coalesce(r.root, n.node), '#0$', '') AS attribute FROM nodes n LEFT JOIN roots r USING (topic, node)),
+places AS (SELECT DISTINCT topic, seq, coalesce(j->'source'->>'table', split_part(topic, '.', -1)) AS source_table FROM env JOIN files USING (topic, file_name)),
+sets AS (SELECT p.source_table, a.attribute, list_sort(list_distinct(flatten(list(coalesce(k.ks, []))))) AS ks FROM attrs a JOIN kinds k USING (topic, seq, field) JOIN places p USING (topic, seq) GROUP BY 1, 2)
+SELECT source_table, attribute, CASE WHEN len(ks) = 0 THEN NULL WHEN len(ks) = 1 THEN ks[1] WHEN ks = ['number with fraction', 'whole number'] THEN 'number with fraction' ELSE 'mixed' END AS kind FROM sets
+"""
+
+SQL = {"p2_found": _P2_SQL, "p2_schema": _P2_SCHEMA_SQL}
