@@ -161,6 +161,10 @@ def test_history_in_any_order_of_batches(spark, rows):
     want = brute_versions([(k, t, ((e or "").strip().lower() or None, z)) for k, e, z, t in raw])
     once = history.versions(history.merge_history(None, df, "k", ["email", "zip"], F.col("t")), "k", ["email", "zip"])
     assert sorted((x.k, x.valid_from_ms, x.valid_to_ms) for x in once.collect()) == want
+    for batches in (1, 3):
+        folded = history.fold(df, "k", ["email", "zip"], F.col("t"), batches)
+        assert sorted((x.k, x.valid_from_ms, x.valid_to_ms) for x in folded.collect()) == want
+    assert history.fold(df.limit(0), "k", ["email", "zip"], F.col("t")).count() == 0
     state = None
     for part in (df.where("t % 3 = 2"), df.where("t % 3 = 0 OR t IS NULL"), df.where("t % 3 = 1")):
         state = history.merge_history(state, part, "k", ["email", "zip"], F.col("t"))
@@ -217,3 +221,13 @@ def test_consistent_table(spark):
     assert types["claim_id"] == "bigint" and types["paid"] == "double" and types["open"] == "boolean" and types["code"] == "string" and types["due"] == "string"
     assert t.where("file_name = 'a.json' AND paid = 3.0 AND due = '1718044800000'").count() == 1 and t.count() == 20 + 2
     assert drift.consistent_table(files(spark, DRIFT), "nothing").count() == 0
+
+
+def test_history_of_one_long_key(spark):
+    """A key over many stretches, with runs that go on over their borders."""
+    step = 1 << 31
+    data = [(7, i * step, "x" if i // 9 % 2 else "y") for i in range(120)] + [(None, 5, "z"), (8, -3 * step, "a"), (8, 90 * step, "a")]
+    df = spark.createDataFrame(data, "k int, t bigint, v string")
+    got = sorted((x.k or 0, x.valid_from_ms, x.valid_to_ms) for x in history.fold(df, "k", ["v"], F.col("t")).collect())
+    starts = [i * step for i in range(0, 120, 9)]
+    assert got == sorted([(0, 5, -1), (8, -3 * step, -1)] + [(7, a, b) for a, b in zip(starts, [*starts[1:], -1])])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.instants import instant_millis, instant_seconds, read_instant
 from ..operators import changefeed, history, intervals, orphans
 from ..operators.latest import latest_by_key
+from ..session import cut
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -126,14 +127,21 @@ SELECT {columns} FROM (
 # --- p6: history of attributes -------------------------------------------------------------
 
 
-def p6_versions(spark: SparkSession, folder: str) -> DataFrame:
-    extracts = table(spark, folder, "patient_extracts")
-    seen = history.merge_history(None, extracts, "patient_id", ["email", "postal_code"], instant_millis(F.col("updated_at")))
-    return history.versions(seen, "patient_id", ["email", "postal_code"])
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions by merges of slices of time, each into the versions current before it."""
+    found = history.fold(table(spark, folder, "patient_extracts"), "patient_id", ["email", "postal_code"], instant_millis(F.col("updated_at")))
+    return found.select("patient_id", "valid_from_ms", "valid_to_ms")
 
 
-def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p6_versions(spark, folder).select("patient_id", "valid_from_ms", "valid_to_ms")
+def p6_merged_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The same versions by merges of what arrived together, so that each brings late observations."""
+    extracts = table(spark, folder, "patient_extracts")
+    arrived = F.unix_millis(F.col("loaded_at").cast("timestamp"))
+    middle = int(extracts.select(arrived.alias("at")).approxQuantile("at", [0.5], 0.01)[0]) if not extracts.isEmpty() else 0
+    seen = None
+    for part in (extracts.where(arrived < middle), extracts.where(F.coalesce(arrived, F.lit(middle)) >= middle)):
+        seen = cut(history.merge_history(seen, part, "patient_id", ["email", "postal_code"], instant_millis(F.col("updated_at"))))
+    return history.versions(seen, "patient_id", ["email", "postal_code"]).select("patient_id", "valid_from_ms", "valid_to_ms")
 
 
 _P6_SQL = f"""
@@ -144,7 +152,7 @@ WITH seen AS (
 SELECT patient_id, at_ms AS valid_from_ms, coalesce(lead(at_ms) OVER (PARTITION BY patient_id ORDER BY at_ms), -1) AS valid_to_ms FROM starts
 """
 
-QUERIES = {"p1_found": p1_found, "p1_load": p1_load, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_state": p5_state, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_load": p1_load, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_state": p5_state, "p6_found": p6_found, "p6_merged_late": p6_merged_late}
 SQL = {
     "p1_found": _P1_SQL + "SELECT * FROM p1",
     "p1_load": _P1_SQL + "SELECT provider_id, period_kind, count(*) AS n_periods, sum(ends_at - starts_at)::BIGINT AS total_s, max(ends_at - starts_at) AS longest_s FROM p1 GROUP BY 1, 2",
@@ -154,4 +162,5 @@ SQL = {
     "p5_found": _P5_SQL.format(columns="k AS claim_id, source_lsn"),
     "p5_state": _P5_SQL.format(columns="after_row.claim_id AS claim_id, after_row.patient_id AS patient_id, after_row.billed_amount AS billed_amount, after_row.paid_amount AS paid_amount, after_row.claim_status AS claim_status, after_row.updated_at AS updated_at, source_lsn"),
     "p6_found": _P6_SQL,
+    "p6_merged_late": _P6_SQL,
 }
