@@ -1,10 +1,10 @@
 """Overlapping, nested and gapped intervals: continuous periods and the gaps between them.
 
-Intervals [start, end) with integer bounds are decomposed into canonical dyadic blocks
-(level k: 2^k units, aligned to 2^k).  Equal blocks collapse in a distributed distinct, then
-per (key, cell), where a cell is an aligned run of 2^CELL units, blocks covered by an
-ancestor go, sibling pairs merge upward and adjacent blocks coalesce.  One summary row per
-cell stitches runs that cross cell borders, so no key is ever gathered into one task.
+Intervals [start, end) with integer bounds are range-partitioned by key and start, so that a key with a
+third of all rows is spread over many tasks.  Batch by batch they are decomposed into canonical dyadic
+blocks (level k: 2^k units, aligned to 2^k, at most two a level), blocks covered by an ancestor go, sibling
+pairs merge upward and adjacent blocks coalesce to runs.  One summary row a (key, batch) carries how far the
+batches before it reach, which is all that a later batch has to know.
 """
 
 from __future__ import annotations
@@ -13,135 +13,118 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Level of the largest block: cells of 2^20 seconds are about twelve days.
-CELL = 20
-
-
-def dyadic_blocks(df: DataFrame, start: str, end: str, cell: int = CELL) -> DataFrame:
-    """One row per canonical block: columns of ``df`` besides the bounds, ``_level``, ``_index``.
-
-    An interval has at most two blocks per level below ``cell``, and one per whole cell it spans
-    (about thirty a year in seconds).  Rows without both bounds or with end <= start give none.
-    """
-    df = df.where((F.col(start) < F.col(end)))
-    levels = f"sequence(0, {cell - 1})"
-    low = f"transform({levels}, k -> struct(k AS level, -shiftright(-`{start}`, k) AS lo, shiftright(`{end}`, k) AS hi))"
-    left = "transform(filter(_lv, x -> x.lo < x.hi AND x.lo % 2 != 0), x -> struct(x.level AS level, x.lo AS index))"
-    right = "transform(filter(_lv, x -> x.lo < x.hi AND x.hi % 2 != 0), x -> struct(x.level AS level, x.hi - 1 AS index))"
-    top_lo, top_hi = f"-shiftright(-`{start}`, {cell})", f"shiftright(`{end}`, {cell})"
-    top = (
-        f"CASE WHEN {top_lo} < {top_hi} THEN transform(sequence({top_lo}, {top_hi} - 1), i -> struct({cell} AS level, i AS index))"
-        f" ELSE array() END"
-    )
-    rest = [c for c in df.columns if c not in (start, end)]
-    return (
-        df.withColumn("_lv", F.expr(low))
-        .select(*rest, F.explode(F.concat(F.expr(left), F.expr(right), F.expr(top))).alias("_block"))
-        .select(*rest, F.col("_block.level").alias("_level"), F.col("_block.index").alias("_index"))
-    )
-
-
-def _merge(group: np.ndarray, start: np.ndarray, level: np.ndarray, cell: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Group, start, end of maximal runs.  Sorted by group, start, then larger blocks first; starts count from the cell's."""
-    base = group << (cell + 1)
-    size = np.left_shift(1, level)
-    # an ancestor starts no later and ends no earlier, so it comes first
-    reach = np.maximum.accumulate(base + start + size)
+from ..session import cut
+
+#: Levels of blocks: whole numbers have 63 bits and a sign.
+LEVELS = 63
+
+
+def dyadic_blocks(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, level and index of the canonical blocks of the intervals [start, end)."""
+    lo, hi, row = start.astype("int64"), end.astype("int64"), np.arange(len(start))
+    rows, levels, indexes = [], [], []
+    for k in range(LEVELS):
+        live = lo < hi
+        lo, hi, row = lo[live], hi[live], row[live]
+        if not len(row):
+            break
+        left = (lo & 1) == 1
+        rows.append(row[left])
+        indexes.append(lo[left])
+        levels.append(np.full(left.sum(), k))
+        lo = lo + left
+        right = ((hi & 1) == 1) & (lo < hi)
+        hi = hi - right
+        rows.append(row[right])
+        indexes.append(hi[right])
+        levels.append(np.full(right.sum(), k))
+        lo, hi = lo >> 1, hi >> 1
+    whole = [np.concatenate(x) if x else np.zeros(0, "int64") for x in (rows, levels, indexes)]
+    return whole[0], whole[1], whole[2]
+
+
+def merged_runs(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, start and end of the runs of each group's intervals; groups are numbers in order."""
+    row, level, index = dyadic_blocks(start, end)
+    group, start = group[row], np.left_shift(index, level)
+    order = np.lexsort((-level, start, group))  # an ancestor starts no later and ends no earlier, so it comes first
+    group, start, level = group[order], start[order], level[order]
+    if not len(start):
+        return group, start, start
+    end = start + np.left_shift(np.int64(1), level)
+    reach = pd.Series(end).groupby(group).cummax().to_numpy()
     keep = np.ones(len(start), bool)
-    keep[1:] = (base + start + size)[1:] > reach[:-1]
+    keep[1:] = (group[1:] != group[:-1]) | (end[1:] > reach[:-1])
     group, start, level = group[keep], start[keep], level[keep]
-    for k in range(cell):
-        size = 1 << k
+    k = int(level.min())
+    while k <= level.max() and k < LEVELS - 1:
         here = level == k
         pair = np.zeros(len(start), bool)
-        pair[:-1] = here[:-1] & here[1:] & (group[:-1] == group[1:]) & (start[:-1] % (2 * size) == 0) & (start[1:] == start[:-1] + size)
+        pair[:-1] = here[:-1] & here[1:] & (group[:-1] == group[1:]) & (((start[:-1] >> k) & 1) == 0) & (start[1:] - start[:-1] == 1 << k)
         if pair.any():
             level = np.where(pair, k + 1, level)
             stay = np.ones(len(start), bool)
             stay[1:] = ~pair[:-1]
             group, start, level = group[stay], start[stay], level[stay]
-    end = start + np.left_shift(1, level)
+        k += 1
+    end = start + np.left_shift(np.int64(1), level)
     first = np.ones(len(start), bool)
     first[1:] = (group[1:] != group[:-1]) | (start[1:] != end[:-1])
     last = np.append(first[1:], True)
     return group[first], start[first], end[last]
 
 
-def _cells(key: str, cell: int):
+def _batches(key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-
-        def emit(p: pd.DataFrame) -> pd.DataFrame:
+        task = TaskContext.get().partitionId() << 33
+        for n, p in enumerate(batches):
+            if not len(p):
+                continue
             codes = pd.factorize(p[key], use_na_sentinel=False)[0].astype("int64")
-            cells = p["_cell"].to_numpy("int64")
             change = np.ones(len(p), bool)
-            change[1:] = (codes[1:] != codes[:-1]) | (cells[1:] != cells[:-1])
-            group = np.cumsum(change) - 1
+            change[1:] = codes[1:] != codes[:-1]
             at = np.flatnonzero(change)
-            g, s, e = _merge(group, p["_start"].to_numpy("int64") - (cells << cell), p["_level"].to_numpy("int64"), cell)
-            rows = at[g]
-            low = cells[rows] << cell
-            head = np.ones(len(g), bool)
-            head[1:] = g[1:] != g[:-1]
-            tail = np.append(head[1:], True)
-            after = np.append((low + s)[1:], 0)
-            return pd.DataFrame({
-                key: p[key].to_numpy()[rows], "_cell": cells[rows], "_s": low + s, "_e": low + e,
-                "_head": head, "_tail": tail, "_next": np.where(tail, 0, after),
-            })
-
-        for p in batches:
-            if held is not None:
-                p = pd.concat([held, p], ignore_index=True)
-            if not len(p):
-                continue
-            k, c = p[key].iloc[-1], p["_cell"].iloc[-1]
-            same = (p["_cell"] == c) & (p[key].isna() if pd.isna(k) else p[key] == k)
-            held, done = p[same], p[~same]
-            if len(done):
-                yield emit(done)
-        if held is not None and len(held):
-            yield emit(held)
+            g, s, e = merged_runs(np.cumsum(change) - 1, p["_from"].to_numpy("int64"), p["_to"].to_numpy("int64"))
+            yield pd.DataFrame({key: p[key].to_numpy()[at[g]], "_cell": np.full(len(g), task + n), "_s": s, "_e": e})
 
     return run
 
 
-def periods(df: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:
+def periods(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Columns ``key``, period_kind (busy or gap), starts_at, ends_at.
 
     ``start`` and ``end`` are whole numbers.  Intervals that overlap or touch form one busy
     period.  Rows with a null bound or end <= start are no intervals; a null key is a key of
     its own; repeated rows change nothing; other columns are ignored; an empty table gives no rows.
+    An interval of any length is one row until it is in a batch, where it has at most two blocks a level.
     """
-    bare = df.select(F.col(key), F.col(start).cast("bigint").alias("_from"), F.col(end).cast("bigint").alias("_to"))
-    blocks = dyadic_blocks(bare, "_from", "_to", cell).distinct()
-    blocks = blocks.select(
-        key, F.expr(f"shiftright(_index, {cell} - _level)").alias("_cell"), F.expr("shiftleft(_index, _level)").alias("_start"), F.col("_level").cast("bigint").alias("_level")
-    )
+    bare = df.select(F.col(key), F.col(start).cast("bigint").alias("_from"), F.col(end).cast("bigint").alias("_to")).where("_from < _to")
     kind = df.schema[key].dataType.simpleString()
-    sorted_blocks = blocks.repartition(key, "_cell").sortWithinPartitions(key, "_cell", "_start", F.desc("_level"))
-    runs = sorted_blocks.mapInPandas(
-        _cells(key, cell), f"`{key}` {kind}, _cell bigint, _s bigint, _e bigint, _head boolean, _tail boolean, _next bigint"
-    )
-    cells = runs.groupBy(key, "_cell").agg(
-        F.min("_s").alias("first_s"), F.min("_e").alias("first_e"), F.max("_e").alias("last_e"), F.count(F.lit(1)).alias("n")
-    )
-    by_key = Window.partitionBy(key).orderBy("_cell")
-    cells = cells.withColumn("before_e", F.lag("last_e").over(by_key)).withColumn("after_s", F.lead("first_s").over(by_key))
-    closes = (F.col("n") > 1) | F.col("after_s").isNull() | (F.col("after_s") > F.col("last_e"))
-    cells = cells.withColumn("head_end", F.when(closes, F.col("first_e")))
-    cells = cells.withColumn("chain_end", F.first("head_end", ignorenulls=True).over(by_key.rowsBetween(1, Window.unboundedFollowing)))
-    cells = cells.select(F.col(key).alias("_k"), F.col("_cell").alias("_c"), "before_e", "after_s", "chain_end")
-    r = runs.join(cells, runs[key].eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c")))
-    following = F.when(F.col("_tail"), F.col("after_s")).otherwise(F.col("_next"))
-    r = r.withColumn("_after", following)
-    opens = ~(F.col("_head") & F.col("before_e").isNotNull() & (F.col("before_e") == F.col("_s")))
-    ends = F.col("_after").isNull() | (F.col("_after") > F.col("_e"))
+    ordered = bare.repartitionByRange(key, "_from").sortWithinPartitions(key, "_from", "_to")
+    # batches are numbered as they come, so they are written once and read by both sides of the joins below
+    runs = cut(ordered.mapInPandas(_batches(key), f"`{key}` {kind}, _cell bigint, _s bigint, _e bigint"))
+
+    def back(rows: DataFrame, edges: DataFrame) -> DataFrame:
+        edges = edges.withColumnsRenamed({key: "_k", "_cell": "_c"})
+        return rows.join(edges, rows[key].eqNullSafe(F.col("_k")) & (F.col("_cell") == F.col("_c"))).drop("_k", "_c")
+
+    forward = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    edges = runs.groupBy(key, "_cell").agg(F.max("_e").alias("_last"))
+    edges = edges.withColumn("_carry", F.max("_last").over(forward)).withColumn("_whole", F.max("_last").over(Window.partitionBy(key))).drop("_last")
+    inside = Window.partitionBy(key, "_cell").orderBy("_s")
+    reached = back(runs, edges).withColumn("_reach", F.greatest("_carry", F.lag("_e").over(inside)))
+    opens = reached.where("_reach IS NULL OR _s > _reach").withColumn("_next", F.lead("_reach").over(inside))
+    # a period ends where what lies before the next one ends: of the next batch that opens any, a running value from the end
+    backward = Window.partitionBy(key).orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
+    heads = opens.groupBy(key, "_cell").agg(F.min_by("_reach", "_s").alias("_head"))
+    heads = heads.withColumn("_later", F.last("_head", ignorenulls=True).over(backward)).drop("_head")
+    opens = back(opens, heads).withColumn("_end", F.coalesce("_next", "_later", "_whole"))
     parts = F.array(
-        F.when(opens, F.struct(F.lit("busy").alias("period_kind"), F.col("_s").alias("starts_at"), F.when(ends, F.col("_e")).otherwise(F.col("chain_end")).alias("ends_at"))),
-        F.when(ends & F.col("_after").isNotNull(), F.struct(F.lit("gap").alias("period_kind"), F.col("_e").alias("starts_at"), F.col("_after").alias("ends_at"))),
+        F.struct(F.lit("busy").alias("period_kind"), F.col("_s").alias("starts_at"), F.col("_end").alias("ends_at")),
+        F.when(F.col("_reach").isNotNull(), F.struct(F.lit("gap").alias("period_kind"), F.col("_reach").alias("starts_at"), F.col("_s").alias("ends_at"))),
     )
-    return r.select(key, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("p")).select(key, "p.period_kind", "p.starts_at", "p.ends_at")
+    return opens.select(key, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("p")).select(key, "p.period_kind", "p.starts_at", "p.ends_at")
