@@ -3,7 +3,9 @@
 Each document of a source is expected the same number of times (the source's rate).  The expected
 copies are summed up in an order within the source, one random offset is added per source, and a
 document is emitted once per whole number its stretch of the sum crosses: its copies differ by at
-most one from the rate, and the source's total by less than one document from what was wanted.
+most one from the rate, and the source's number of documents by less than one from what was wanted.
+Long documents are sampled first, and the others at the rate that makes up for what those gave too
+much or too little; in the mean over offsets that is the source's rate again.
 """
 
 from __future__ import annotations
@@ -71,9 +73,9 @@ def plan_mix(rows: list[tuple[str, float | None, int | None, int, int]], total_t
     ]
 
 
-def offsets(source: str, seed: int, n: int) -> list[float]:
-    """``n`` random numbers in [0, 1) that depend on nothing but the source's name and the seed."""
-    return [int.from_bytes(hashlib.sha256(f"{seed}:{source}:{i}".encode()).digest()[:6], "big") / 2**48 for i in range(n)]
+def offset(source: str, seed: int) -> float:
+    """A random number in [0, 1) that depends on nothing but the source's name and the seed."""
+    return int.from_bytes(hashlib.sha256(f"{seed}:{source}".encode()).digest()[:6], "big") / 2**48
 
 
 def plan_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> list[SourcePlan]:
@@ -88,40 +90,46 @@ def plan_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None
     return plan_mix(sorted((r.source, r.target_weight, r.max_repeats, r.d, r.t) for r in got), total_tokens)
 
 
-def mix(sized: DataFrame, plan: list[SourcePlan], id_column: str = "doc_id", seed: int = 7, bucket_rows: int = 50_000, draws: int = 48) -> DataFrame:
+def _sampled(rows: DataFrame, id_column: str, seed: int) -> DataFrame:
+    """``rows`` with ``_copies``: prefix sums of ``_rate`` in (source, hash bucket) by size, carried over buckets, plus ``_offset``."""
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.col("_buckets")))
+    before = rows.groupBy("source", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("source").orderBy("_b")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("source", "_b").orderBy("n_tokens", id_column))
+    rows = rows.withColumn("_rank", inside).join(before, ["source", "_b"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+    crossed = lambda n: F.floor(n * F.col("_rate") + F.col("_offset"))
+    return rows.withColumn("_copies", crossed(F.col("_rank")) - crossed(F.col("_rank") - 1))
+
+
+def mix(sized: DataFrame, plan: list[SourcePlan], id_column: str = "doc_id", seed: int = 7, bucket_rows: int = 50_000, long: float = 0.005) -> DataFrame:
     """One row per use of a document: ``id_column``, source, n_tokens, copy_no (from 1).
 
     ``sized`` has ``id_column``, source, n_tokens.  Documents without tokens add nothing to a share and are left
     out.  The order within a source is by hash buckets of about ``bucket_rows`` rows, by size inside; bucket
     totals carry the sum over bucket borders, so a source that holds a third of all rows is spread over many
-    tasks.  Of ``draws`` random offsets the one is used whose tokens come nearest to the source's wanted tokens,
-    as a few very long documents would else move a small source's share; their sums take one aggregation of
-    ``draws`` numbers a source.  Repeated rows count as documents of their own; an empty table gives no rows.
+    tasks.  A document is long if it has more than the share ``long`` of the tokens its source is to give: a few
+    such would else move a small source's share.  Repeated rows count as documents of their own; an empty table
+    gives no rows.  The plan has a row per target source, which are configuration, so it is broadcast where the
+    session's limit for broadcasts lets it; a number per target source is collected between the two samples.
     """
     spark = sized.sparkSession
     live = [p for p in plan if p.rate > 0]
-    drawn = {p.source: offsets(p.source, seed, draws) for p in live}
-    rates = spark.createDataFrame(
-        [(p.source, p.rate, drawn[p.source], max(1, -(-p.n_docs // bucket_rows))) for p in live], "source string, _rate double, _offsets array<double>, _buckets bigint"
-    )
-    rows = sized.where("n_tokens > 0").select(id_column, "source", "n_tokens").join(F.broadcast(rates), "source")
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.col("_buckets")))
-    before = rows.groupBy("source", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("source").orderBy("_b")) - F.col("_n")).drop("_n")
-    inside = F.row_number().over(Window.partitionBy("source", "_b").orderBy("n_tokens", id_column))
-    rows = rows.withColumn("_rank", inside).join(before, ["source", "_b"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    rows = cut(rows.select(id_column, "source", "n_tokens", "_rate", "_offsets", "_rank"))
-
-    def copies(offset):
-        crossed = lambda n: F.floor(n * F.col("_rate") + offset)
-        return crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)
-
-    sums = rows.groupBy("source").agg(*[F.sum(copies(F.element_at("_offsets", i + 1)) * F.col("n_tokens")).alias(str(i)) for i in range(draws)]).collect()
-    wanted = {p.source: p.rate * p.n_tokens for p in live}
-    best = {r.source: min(range(draws), key=lambda i: (abs(r[str(i)] - wanted[r.source]), i)) for r in sums}
-    chosen = spark.createDataFrame([(s, drawn[s][i]) for s, i in best.items()], "source string, _offset double")
-    rows = rows.join(F.broadcast(chosen), "source").withColumn("_copies", copies(F.col("_offset"))).where("_copies > 0")
-    return rows.select(id_column, "source", "n_tokens", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("copy_no"))
+
+    def rated(rates: dict[str, float], salt: int) -> DataFrame:
+        drawn = [(p.source, rates[p.source], offset(p.source, seed + salt), max(1, -(-p.n_docs // bucket_rows)), long * p.rate * p.n_tokens) for p in live]
+        return spark.createDataFrame(drawn, "source string, _rate double, _offset double, _buckets bigint, _long double")
+
+    rows = sized.where("n_tokens > 0").select(id_column, "source", "n_tokens")
+    head = cut(_sampled(rows.join(rated({p.source: p.rate for p in live}, 0), "source").where("n_tokens > _long"), id_column, seed).select(id_column, "source", "n_tokens", "_copies"))
+    got = {r.source: (r.size, r.used) for r in head.groupBy("source").agg(F.sum("n_tokens").alias("size"), F.sum(F.col("n_tokens") * F.col("_copies")).alias("used")).collect()}
+    rest = {}
+    for p in live:
+        size, used = got.get(p.source, (0, 0))
+        left = p.n_tokens - size
+        rest[p.source] = min(float(p.max_repeats), max(0.0, (p.rate * p.n_tokens - used) / left)) if left else 0.0
+    tail = _sampled(rows.join(rated(rest, 1), "source").where("n_tokens <= _long"), id_column, seed).select(id_column, "source", "n_tokens", "_copies")
+    used = head.unionByName(tail).where("_copies > 0")
+    return used.select(id_column, "source", "n_tokens", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("copy_no"))
 
 
 def shares(mixed: DataFrame, plan: list[SourcePlan]) -> DataFrame:
