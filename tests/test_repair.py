@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veilstream.functions.instants import instant_micros
 from veilstream.operators import changefeed, drift, history, intervals, orphans
 from veilstream.operators.ordered import neighbour
-from veilstream.session import salted_join
+from veilstream.session import hot_keys, salted_join
 
 
 def merged(spans):
@@ -96,8 +96,12 @@ def test_neighbours_cross_buckets(spark):
 def test_salted_join_keeps_every_row(spark):
     left = spark.createDataFrame([("hot", i) for i in range(500)] + [("cold", 1), (None, 2), ("lone", 3)], "k string, i int")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3), (None, 9)], "k string, v int")
-    got = salted_join(left, right, ["k"], F.col("i"), hot_rows=100, fan=4)
+    assert [tuple(r) for r in hot_keys(left, ["k"], 100).collect()] == [("hot", 10)]
+    got = salted_join(left, right, ["k"], F.col("i"), hot_rows=100)
     assert got.count() == 1000 + 1 + 2 and got.where("k = 'lone' AND v IS NULL").count() == 1
+    for how in ("left_semi", "left_anti"):
+        some = salted_join(left, right, ["k"], F.col("i"), how, 100)
+        assert some.columns == ["k", "i"] and some.exceptAll(left.join(right, "k", how)).count() == 0 and some.count() == left.join(right, "k", how).count()
     assert got.select("k", "i", "v").exceptAll(left.join(right, "k", "left").select("k", "i", "v")).count() == 0
 
 

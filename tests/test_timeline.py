@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from veilstream.functions.keyed import Keys
 from veilstream.generate import churn
 from veilstream.generate.population import ODD_NAMES, Size, population
-from veilstream.operators import apportion, cascade, fingerprint, ledger
+from veilstream.operators import apportion, cascade, fingerprint, identify, ledger
 from veilstream.plans.policy import parse_policy
 from veilstream.sources.envelopes import append_topic, envelope_schema, envelopes, missing_before_images
 from veilstream.streaming import applier, transform
@@ -160,3 +160,30 @@ def test_streams(spark, tmp_path):
     transform.start(spark, policy, {"public.t": topics["public.t"]}, str(tmp_path / "out"), keys).finish()
     go()
     assert sorted(r.v for r in applier.current(spark, str(tmp_path / "state")).collect()) == [3, 5]
+
+
+def test_hot_groups_and_ties(spark):
+    """A group, a parent and a class of equal remainders with a third of all rows or more, against plain windows and joins."""
+    n = 6000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).alias("g"), F.timestamp_micros(F.floor(F.col("id") / 7) * (1 << 33)).alias("at"))
+    got = {r.id: r.at for r in apportion.spread_instants(df, ["g"], "at", "id", 1 << 32).collect()}
+    want, last = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.at, r.id)):
+        at = r.at if r.g not in last else max(r.at, last[r.g] + timedelta(microseconds=1 << 32))
+        want[r.id] = last[r.g] = at
+    assert got == want
+    even = apportion.largest_remainder(df, "id", F.lit(1), n // 2)
+    assert {r.id for r in even.where("share = 1").collect()} == set(range(n // 2))
+    kids = df.select(F.col("id").alias("k"), F.col("g").alias("p"))
+    parents = spark.range(60).select(F.col("id").alias("p_id"), F.concat(F.lit("n"), "id").alias("name"))
+    named = fingerprint.natural(kids, [("p", parents.unionByName(parents.withColumn("name", F.lit("zz"))), "p_id", F.col("name"), "parent")])
+    assert named.count() == n and named.where("parent = 'n0'").count() == n // 3
+    doomed = spark.createDataFrame([("parents", 0)], "table_name string, row_id bigint")
+    refs = (cascade.Reference("kids", "k", "p", "parents", cascade.CASCADE),)
+    gone = cascade.consequences({"parents": parents.select("p_id"), "kids": kids}, refs, doomed, hot_rows=500)
+    assert gone.where("table_name = 'kids'").count() == n // 3
+
+
+def test_exact_rank(spark):
+    df = spark.range(101).select(((F.col("id") * 37) % 101).alias("v"))
+    assert identify.at_rank(df, "v", 0.5) == 50 and identify.at_rank(df, "v", 0) == 0 and identify.at_rank(df.limit(0), "v", 0.5) is None

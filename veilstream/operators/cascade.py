@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, hot_keys, salted_join
 
 CASCADE, SET_NULL, RESTRICT = "cascade", "set null", "restrict"
 
@@ -38,13 +38,13 @@ CLINIC = (
 )
 
 
-def consequences(tables: dict[str, DataFrame], references: tuple[Reference, ...], deletes: DataFrame, max_rounds: int = 50) -> DataFrame:
+def consequences(tables: dict[str, DataFrame], references: tuple[Reference, ...], deletes: DataFrame, max_rounds: int = 50, hot_rows: int = 200_000) -> DataFrame:
     """table_name, row_id, op (D or U), field (what becomes null; '' for deletes), depth of all changes of a set of deletes.
 
     ``deletes`` has table_name and row_id.  Children are found by semi-joins, generation by generation, until a
     round deletes nothing new; a row is deleted once, at its least depth.  Rows that are deleted anyway are not
     set null.  A restricting reference from a row that stays raises RestrictedDelete.  Only what is asked for and
-    what exists counts; null references refer to nothing.
+    what exists counts; null references refer to nothing.  Children of a parent with many are spread over tasks.
     """
     existing = None
     ids = {r.child: r.child_id for r in references}
@@ -55,12 +55,17 @@ def consequences(tables: dict[str, DataFrame], references: tuple[Reference, ...]
     first = deletes.select("table_name", F.col("row_id").cast("bigint").alias("row_id")).distinct().join(existing, ["table_name", "row_id"], "left_semi")
     gone = cut(first.withColumn("depth", F.lit(0)))
     frontier = gone
+    kids_of, hot = {}, {}
+    for r in references:
+        if r.child in tables:
+            kids_of[r] = tables[r.child].select(F.col(r.child_id).cast("bigint").alias("row_id"), F.col(r.field).cast("bigint").alias("_ref"))
+            hot[r] = cut(hot_keys(kids_of[r], ["_ref"], hot_rows))
     for depth in range(1, max_rounds + 1):
         found = None
         for r in references:
             if r.action == CASCADE and r.child in tables:
                 up = frontier.where(F.col("table_name") == r.parent).select(F.col("row_id").alias("_ref"))
-                kids = tables[r.child].select(F.col(r.child_id).cast("bigint").alias("row_id"), F.col(r.field).cast("bigint").alias("_ref")).join(up, "_ref", "left_semi")
+                kids = salted_join(kids_of[r], up, ["_ref"], F.col("row_id"), "left_semi", hot=hot[r])
                 kids = kids.select(F.lit(r.child).alias("table_name"), "row_id")
                 found = kids if found is None else found.unionByName(kids)
         if found is None:
@@ -76,7 +81,7 @@ def consequences(tables: dict[str, DataFrame], references: tuple[Reference, ...]
         if r.action == CASCADE or r.child not in tables:
             continue
         up = gone.where(F.col("table_name") == r.parent).select(F.col("row_id").alias("_ref"), F.col("depth"))
-        kids = tables[r.child].select(F.col(r.child_id).cast("bigint").alias("row_id"), F.col(r.field).cast("bigint").alias("_ref")).join(up, "_ref")
+        kids = salted_join(kids_of[r], up, ["_ref"], F.col("row_id"), "inner", hot=hot[r])
         kids = kids.withColumn("table_name", F.lit(r.child)).join(gone.select("table_name", "row_id"), ["table_name", "row_id"], "left_anti")
         kids = kids.groupBy("table_name", "row_id").agg((F.min("depth") + 1).alias("depth"))
         if r.action == RESTRICT:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import salted_join
+
 
 def normal(c: Column, kind: T.DataType, scale: int = 2) -> Column:
     """A value as text: instants in UTC with microseconds, days as ISO, decimals with ``scale`` places, the rest as it is."""
@@ -49,9 +51,10 @@ def natural(df: DataFrame, lookups: list[tuple[str, DataFrame, str, Column, str]
     """The table with surrogate keys replaced by natural ones.
 
     Each lookup is (column, other table, its key, natural key of it, new name); a null or unknown reference gives
-    null.  ``drop`` names further surrogate columns to leave out.
+    null; of repeated rows of the other table the least natural key counts.  ``drop`` names further surrogate columns to leave out.
     """
     for column, other, key, value, name in lookups:
-        known = other.select(F.col(key).alias("_key"), value.alias(name)).dropDuplicates(["_key"])
-        df = df.join(known, F.col(f"`{column}`") == F.col("_key"), "left").drop("_key", column)
+        known = other.select(F.col(key).alias("_key"), value.alias(name)).where("_key IS NOT NULL").groupBy("_key").agg(F.min(name).alias(name))
+        spread = F.xxhash64(*[c for c in df.columns if c != column]) if len(df.columns) > 1 else F.rand(7)
+        df = salted_join(df.withColumn("_key", F.col(f"`{column}`")), known, ["_key"], spread).drop("_key", column)
     return df.drop(*drop)

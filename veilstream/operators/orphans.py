@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, salted_join
+from ..session import cut, hot_keys, salted_join
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,9 @@ def orphans(tables: dict[str, DataFrame], keys: list[ForeignKey], deletions: Dat
     """
     refs = references(tables, keys, loaded)
     states = parent_states(tables, keys, deletions, loaded)
-    refs = cut(salted_join(refs, states, ["parent_table", "ref_id"], F.col("child_id"), "left", hot_rows))
+    refs = cut(refs)
+    hot = cut(hot_keys(refs, ["parent_table", "ref_id"], hot_rows))
+    refs = cut(salted_join(refs, states, ["parent_table", "ref_id"], F.col("child_id"), "left", hot=hot))
     here = F.coalesce("here", F.lit(False))
     kind = (
         F.when(~here & F.coalesce("deleted", F.lit(False)), "deleted")
@@ -96,7 +98,7 @@ def orphans(tables: dict[str, DataFrame], keys: list[ForeignKey], deletions: Dat
     for step in range(1, max_rounds + 1):
         if frontier.isEmpty():
             return found
-        heirs = calm.join(frontier, ["parent_table", "ref_id"], "left_semi")
+        heirs = salted_join(calm, frontier, ["parent_table", "ref_id"], F.col("child_id"), "left_semi", hot=hot)
         heirs = heirs.withColumn("orphan_kind", F.lit("inherited")).withColumn("lineage", F.lit("inherited")).withColumn("round", F.lit(step))
         found = found.unionByName(heirs)
         fresh = heirs.where(F.col("child_table").isin(*parents)).select(F.col("child_table").alias("parent_table"), F.col("child_id").alias("ref_id")).distinct()

@@ -58,8 +58,7 @@ def ledger_latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
 @query(_state_sql(f"WHERE tx_at <= {_AT}"))
 def ledger_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """The state at the median instant."""
-    micros = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_micros(cast(ts AS timestamp)))")
-    middle = table(spark, folder, "events").agg(F.timestamp_micros(micros.cast("bigint")).cast("timestamp_ntz").alias("at")).scalar()
+    middle = identify.at_rank(table(spark, folder, "events"), "ts", 0.5)
     return ledger.replay(event_ledger(spark, folder), ["user_id"], ["value", "props"], middle)
 
 
@@ -130,8 +129,8 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _middle_ms(spark: SparkSession, folder: str) -> int:
-    row = table(spark, folder, "events").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_millis(cast(ts AS timestamp)))").alias("at")).first()
-    return int(row["at"] or 0)
+    ms = table(spark, folder, "events").select(F.unix_millis(F.col("ts").cast("timestamp")).alias("at"))
+    return int(identify.at_rank(ms, "at", 0.5) or 0)
 
 
 @query(f"WITH {_LOG} SELECT * FROM cut")

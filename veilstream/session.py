@@ -62,26 +62,32 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most count(df) / hot_rows of them.
+#: Hot keys that are looked after at most: what lies behind the list's broadcast.  A key beyond the list has less than
+#: a ten-thousandth of all rows and is an ordinary one.
+MOST_HOT = 10_000
 
-    Counted with map-side combine, so a hot key reaches the reducers as one row per task.
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = 200_000, widest: int = 4096) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and ``_fan``, over how many salts theirs are to be spread.
+
+    Counted with map-side combine, so a hot key reaches the reducers as one row per task.  The list has the
+    ``MOST_HOT`` greatest at most, by a partial top-k; null keys are none.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+    counts = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    top = counts.orderBy(F.desc("_n"), *keys).limit(MOST_HOT)
+    return top.select(*keys, F.least(F.ceil(F.col("_n") / hot_rows) * 2, F.lit(widest)).cast("bigint").alias("_fan"))
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str = "left", hot_rows: int = 200_000, fan: int = 32
+    left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str = "left", hot_rows: int = 200_000, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Equi-join in which the left rows of hot keys are spread over ``fan`` salts.
+    """Equi-join (left, inner, left_semi or left_anti) in which the left rows of hot keys are spread by ``spread``.
 
-    ``right`` rows are repeated per salt for hot keys only.  The hot-key list has at most
-    count(left) / hot_rows rows, which is what makes its broadcast safe.  Null keys never match.
+    ``right`` rows of hot keys are repeated per salt.  ``hot`` (keys, _fan) may be given where it is known.  The
+    list of hot keys is broadcast: it has at most ``MOST_HOT`` rows.  Null keys never match.
     """
-    hot = hot_keys(left.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), keys, hot_rows).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)
-    a = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(fan))).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
-    b = right.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(fan - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint"))))
-    ).drop("_hot")
+    hot = F.broadcast(hot_keys(left, keys, hot_rows) if hot is None else hot)
+    one = F.lit(0).cast("bigint")
+    a = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_fan").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_fan"))).otherwise(one)).drop("_fan")
+    b = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.when(F.col("_fan").isNotNull(), F.sequence(one, F.col("_fan") - 1)).otherwise(F.array(one)))).drop("_fan")
     return a.join(b, [*keys, "_salt"], how).drop("_salt")
