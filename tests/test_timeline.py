@@ -187,3 +187,15 @@ def test_hot_groups_and_ties(spark):
 def test_exact_rank(spark):
     df = spark.range(101).select(((F.col("id") * 37) % 101).alias("v"))
     assert identify.at_rank(df, "v", 0.5) == 50 and identify.at_rank(df, "v", 0) == 0 and identify.at_rank(df.limit(0), "v", 0.5) is None
+
+
+def test_applier_compacts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "op string, after struct<k int, v int>, before struct<k int, v int>, source struct<lsn bigint>, offset bigint"
+    for n, rows in enumerate([[("c", (1, 1), None, (1,), 1), ("c", (2, 2), None, (2,), 2)], [("d", None, (1, 1), (5,), 3)], [("u", (1, 9), None, (4,), 4), ("u", (2, 7), None, (6,), 5)], [("c", (3, 3), None, (7,), 6)], []]):
+        applier.newest_changes(spark.createDataFrame(rows, schema), ["k"]).write.mode("overwrite").parquet(f"{path}/d{n}")
+        if n % 2:
+            applier.compact_until(spark, path, n)
+            applier.compact_until(spark, path, n)  # run again
+    assert sorted(tuple(r) for r in applier.current(spark, path).collect()) == [(2, 7), (3, 3)]  # the late update of 1 stays deleted
+    assert applier.versions(spark, path) == [1, 3] and applier.versions(spark, path, "d") == [2, 3, 4]

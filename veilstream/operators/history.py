@@ -25,19 +25,14 @@ def tidy(c: Column) -> Column:
 
 
 def attribute_hash(columns: list[str]) -> Column:
-    """SHA-256 of the tidied attributes; null and text cannot meet, nor can neighbouring values."""
+    """SHA-256 (32 bytes) of the tidied attributes; null and text cannot meet, nor can neighbouring values."""
     parts = [F.coalesce(F.concat(F.lit("v"), F.length(tidy(F.col(c))).cast("string"), F.lit(":"), tidy(F.col(c))), F.lit("n")) for c in columns]
-    return F.sha2(F.concat(*parts), 256)
-
-
-def hashed(updates: DataFrame, key: str, attributes: list[str], at_ms: Column) -> DataFrame:
-    """key, at_ms, attributes, hash of every row with a readable instant."""
-    return updates.select(F.col(key), at_ms.cast("bigint").alias("at_ms"), *attributes).withColumn("hash", attribute_hash(attributes)).where("at_ms IS NOT NULL")
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def observations(updates: DataFrame, key: str, attributes: list[str], at_ms: Column) -> DataFrame:
     """Distinct observations: key, at_ms, attributes, hash.  Rows without a readable instant are left out."""
-    seen = hashed(updates, key, attributes, at_ms)
+    seen = updates.select(F.col(key), at_ms.cast("bigint").alias("at_ms"), *attributes).withColumn("hash", attribute_hash(attributes)).where("at_ms IS NOT NULL")
     return seen.groupBy(key, "at_ms", "hash").agg(*[F.min(a).alias(a) for a in attributes])
 
 
@@ -48,7 +43,7 @@ def runs(rows: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     it and the next start after it over its borders.  So a key with a third of all rows is spread over its
     stretches, and rows are partitioned once.
     """
-    inside = Window.partitionBy(key, "_b").orderBy("at_ms", "hash", *attributes)
+    inside = Window.partitionBy(key, "_b").orderBy("at_ms", "hash")
     marked = rows.withColumn("_b", F.shiftright("at_ms", STRETCH)).withColumn("_was", F.lag("hash").over(inside))
     starts = marked.where("_was IS NULL OR _was <> hash").withColumn("_next", F.lead("at_ms").over(inside))
     at = F.struct("at_ms", "hash")
@@ -86,7 +81,7 @@ def fold(updates: DataFrame, key: str, attributes: list[str], at_ms: Column, bat
     readable instant are left out; repeated rows and rows that change nothing open no version; two different
     observations of one instant are ordered by their hash, the first being valid for no time.  Null keys are a key.
     """
-    seen = cut(hashed(updates, key, attributes, at_ms))
+    seen = cut(observations(updates, key, attributes, at_ms))
     cuts = sorted({int(x) for x in seen.approxQuantile("at_ms", [i / batches for i in range(1, batches)], 0.01)}) if batches > 1 else []
     edges: list[int | None] = [None, *cuts, None]
     versions, current = None, None
