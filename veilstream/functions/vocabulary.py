@@ -2,27 +2,38 @@
 
 # These lists decide which synthetic value a digest stands for.
 
-FIRST_NAMES = """Alexis Amara Anders Bianca Calvin Camila Dashiell Delia Elena Emmett Farida Felix Gemma Grayson Hollis Imani Isadora
-Jonas Josefina Kaimana Kiran Lena Linus Mariam Mateo Nadia Noor Oscar Priya Quinn Rafael Rosalind Soren Sunniva Tamsin Teodoro Ulises
-Vesna Wendell Yusuf Zoya Étienne""".split()
+FIRST_NAMES = [
+    "Abel", "Agnes", "Amos", "Anouk", "Benedikt", "Brigid", "Caspar", "Chiara", "Clement", "Dagny", "Desmond", "Edda", "Eskil", "Faye", "Florin", "Greta", "Hamid", "Ilse",
+    "Ivo", "Jolana", "Kasimir", "Keiko", "Leonie", "Magnus", "Marguerite", "Nils", "Odile", "Otto", "Petra", "Ravi", "Renske", "Salome", "Silas", "Tibor", "Thora", "Uma", "Valentin", "Wanda", "Yara", "Zdeněk",
+]
 
-LAST_NAMES = """Abara|Ashworth|Beaumont|Calloway|Dagher|Ellsworth|Fairbanks|Garrido|Halvorsen|Ibarra|Jessup|Kovalenko|Lindqvist|Marchetti|Nakamura|Oyelaran|Pemberton|Quintero|Radcliffe|Sandoval|Thackeray|Ubeda|Vasquez|Whitfield|Xiong|Yarborough|Zabala|Ó Conaill""".split("|")
+LAST_NAMES = [
+    "Achterberg", "Bellini", "Brandvold", "Castellan", "Dvorak", "Engstrom", "Farquhar", "Gallagher", "Haverkamp", "Iversen", "Jaworski", "Kowalczyk", "Lefebvre", "Mendonca", "Norrington",
+    "Okafor", "Pettersson", "Quigley", "Rosenthal", "Sagara", "Tanaka", "Underwood", "Van Houten", "Winterbourne", "Yamada", "Zimmer", "Zielińska", "Šimunić",
+]
 
-STREET_NAMES = """Alder Bellweather Cormorant Dovetail Elmridge Fenwick Gravenstein Harrowgate Ivyhurst Juniper Kestrel Larkspur Meridian
-Northgate Orchard Pinehollow Quarry Rosewood Sycamore Thistledown Underhill Voyager Windmere Yarrow""".split()
+STREET_NAMES = [
+    "Acorn", "Bracken", "Chestnut", "Drummond", "Eastgate", "Foxhollow", "Garland", "Hawthorn", "Inglewood", "Jasmine", "Kingfisher", "Linden", "Millrace", "Nightingale", "Overlook",
+    "Poplar", "Quince", "Ridgeline", "Saltmarsh", "Tanglewood", "Upland", "Vineyard", "Willowbrook", "Yewtree",
+]
 
-STREET_TYPES = "Street Avenue Lane Court Terrace Way Circle".split()
+STREET_TYPES = ["Boulevard", "Close", "Crescent", "Drive", "Place", "Road", "Row"]
 
-CITIES = """Ashford Hollow|Belmont Junction|Cedar Falls Heights|Dunmore|Eastbrook|Fairhaven Mills|Glenmara|Havenport|Inverness Park|Kingsholm|Lakewood Crossing|Marbury|Northvale|Oakhurst|Pinecrest|Riverton|Stonebridge|Thornbury|Westmarch""".split("|")
+CITIES = [
+    "Appleford", "Brookmere", "Coldwater Bend", "Deepwell", "Elmsworth", "Fernley Cross", "Granby", "Hartsfield", "Ivydale", "Juniper Flats", "Kelmscott", "Lowmoor", "Millbank",
+    "Newbridge", "Oxbow", "Pennyfield", "Redcliff", "Summerlea", "Whitewater",
+]
 
-EMAIL_DOMAINS = "example.com example.org example.net mail.example.com".split()
+EMAIL_DOMAINS = ["example.com", "example.edu", "example.net", "example.org"]
 
-AREA_CODES = "203 206 212 312 413 415 508 617".split()
+AREA_CODES = ["205", "217", "304", "316", "406", "501", "605", "701"]
 
-COMPANY_HEADS = """Alderpoint Brightwater Cobblestone Dunhollow Everstone Foxglove Greenmantle Harborview Ironwood Junegrass Kestrelmark
-Longmeadow Northlight Overbrook Pinebrook Quillfeather Redstone Silverbirch Tallgrass Wolfsbane""".split()
+COMPANY_HEADS = [
+    "Amberfield", "Bluestem", "Cedarline", "Driftwood", "Eastlake", "Fairweather", "Goldleaf", "Highpoint", "Islander", "Jadestone", "Keystone", "Larkfield", "Mossbank",
+    "Nettlecombe", "Oakline", "Peregrine", "Quartzite", "Riverbend", "Sunhollow", "Tidewater",
+]
 
-COMPANY_TAILS = "Group Partners Holdings Industries Collective Works Associates Cooperative Systems Trust".split()
+COMPANY_TAILS = ["Agency", "Alliance", "Brothers", "Company", "Enterprises", "Foundry", "Logistics", "Services", "Studios", "Traders"]
 
 #: Three-digit postal areas with too few people to be told apart from.
 RESTRICTED_ZIP3 = "036 059 063 102 203 556 692 790 821 823 830 831 878 879 884 890 893".split()

@@ -218,6 +218,7 @@ _KEY = lambda domain: {"op": "hmac", "domain": domain}
 _KEEP, _DROP = {"op": "passthrough"}, {"op": "drop"}
 _PAID = ("billed_amount", "allowed_amount", "paid_amount", "patient_responsibility")
 
+# The rule of each column of the clinic.
 CLINIC_POLICY = {
     "on_uncovered_column": "drop_column",
     "tables": {
