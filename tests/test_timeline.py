@@ -1,5 +1,6 @@
 """Replay, checks, cuts, cascades, fingerprints, apportionment, generators, streaming."""
 
+import json
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veilstream.functions.keyed import Keys
 from veilstream.generate import churn
-from veilstream.generate.population import ODD_NAMES, Size, population
+from veilstream.generate.population import ODD_NAMES, Size, population, violations
 from veilstream.operators import apportion, cascade, fingerprint, identify, ledger
 from veilstream.plans.policy import parse_policy
 from veilstream.sources.envelopes import append_topic, envelope_schema, envelopes, missing_before_images
@@ -40,7 +41,7 @@ def test_difference_and_checks(spark, log):
     bent = log.withColumn("tx_at", F.when(F.col("history_id") == 2, F.lit(at(0))).otherwise(F.col("tx_at")))
     assert [r.history_id for r in ledger.inversions(bent, stretch=1).collect()] == [2] and ledger.inversions(log.where("tx_at IS NOT NULL")).count() == 0
     assert [r.txid for r in ledger.split_transactions(bent).collect()] == [1]
-    with pytest.raises(ledger.BeforeWindow):
+    with pytest.raises(ledger.OutsideWindow):
         ledger.guard(at(0), at(1))
     ledger.guard(at(1), at(1))
 
@@ -122,16 +123,34 @@ def test_population(spark):
         assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
 
 
+def test_population_checks(spark):
+    assert all(r.n_bad == 0 for r in violations(population(spark, 3)).collect())
+    bent = population(spark, 3)
+    bent["notes"] = bent["notes"].withColumn("is_amended", F.lit(False))
+    bent["claims"] = bent["claims"].withColumn("paid_amount", F.col("paid_amount") + 1).limit(400)
+    found = {r.check for r in violations(bent).collect() if r.n_bad}
+    assert {"amended_flags", "parts_do_not_add_up", "denied_but_paid", "claims_count"} <= found
+
+
 def test_churn_is_its_own_oracle(spark):
-    entries, rows = churn.plan(seed=5, transactions=300)
-    assert entries == churn.plan(seed=5, transactions=300)[0] != churn.plan(seed=6, transactions=300)[0]
-    log, state = churn.ledger(spark, seed=5, transactions=300), churn.state(spark, seed=5, transactions=300)
+    one = churn.plan(seed=5, transactions=300)
+    entries, rows = one.entries, one.rows
+    assert entries == churn.plan(seed=5, transactions=300).entries != churn.plan(seed=6, transactions=300).entries
+    log, state = churn.ledger(spark, one), churn.state(spark, one)
     assert ledger.difference(ledger.replay(log, ["table_name", "row_id"], ["after_row"]), state).count() == 0
     assert ledger.inversions(log).count() == 0 and ledger.split_transactions(log).count() == 0 and ledger.wide_transactions(log).count() > 0 and ledger.shared_instants(log).count() == 0
-    assert {e[5] for e in entries} == {"I", "U", "D"}
-    visits = rows["appointments"].keys()
-    assert all(r["appointment_id"] in visits for r in rows["claims"].values()) and all(r["appointment_id"] is None or r["appointment_id"] in visits for r in rows["notes"].values())
-    assert len(churn.plan(seed=1, transactions=500, limits=churn.Ceilings(entries=200))[0]) < 260
+    assert {e[5] for e in entries} == {"I", "U", "D"} and one.stopped == "done" and all(r.n_bad == 0 for r in churn.violations(spark, one).collect() if r.check != "shapes_missing")
+    assert sum(one.cascaded.values()) == sum(r.n for r in churn.report(spark, one).where("counter = 'cascaded'").collect()) > 0
+    short = churn.plan(seed=1, transactions=500, limits=churn.Ceilings(entries=200))
+    assert len(short.entries) < 260 and short.stopped == "entries"
+    assert churn.plan(seed=1, transactions=50, limits=churn.Ceilings(transactions=20)).stopped == "transactions" and churn.plan(seed=1, transactions=500, limits=churn.Ceilings(seconds=60), rate=4).stopped == "seconds"
+
+
+def test_churn_on_the_population(spark):
+    one = churn.plan(transactions=400, start=churn.start_rows(population(spark)))
+    size = Size()
+    assert all(0.65 * getattr(size, t) <= len(one.rows[t]) <= 1.45 * getattr(size, t) for t in churn.Clinic.TABLES)
+    assert [e[5] for e in one.entries[:2412]] == ["I"] * 2412 and {"ssn", "phone", "address_line1"} <= json.loads(one.entries[12][8]).keys()
 
 
 def test_streams(spark, tmp_path):
@@ -199,3 +218,34 @@ def test_applier_compacts(spark, tmp_path):
             applier.compact_until(spark, path, n)  # run again
     assert sorted(tuple(r) for r in applier.current(spark, path).collect()) == [(2, 7), (3, 3)]  # the late update of 1 stays deleted
     assert applier.versions(spark, path) == [1, 3] and applier.versions(spark, path, "d") == [2, 3, 4]
+
+
+def test_restore(spark, tmp_path):
+    rows = [("a", 0, 1, 100, 1, 7, "I", 1.0), ("b", 0, 1, 100, 1, 7, "I", 5.0), ("a", 0, 2, 200, 2, 7, "U", 2.0), ("a", 1, 3, 250, 3, 8, "I", 3.0), ("b", 0, 2, 260, 3, 8, "I", 4.0), ("b", 0, 3, 300, 4, 7, "D", None), ("a", 0, 4, 300, 4, 7, "U", 9.0)]
+    log = spark.createDataFrame(rows, "topic string, partition int, offset int, ts_ms bigint, txid int, k int, op string, v double")
+    at = lambda t: {(r.topic, r.k, r.v) for r in ledger.restore(log, t, 100, 300, ["topic", "k"], ["v"]).collect()}
+    assert at(100) == {("a", 7, 1.0), ("b", 7, 5.0)}  # T itself counts
+    assert at(255) == {("a", 7, 2.0), ("b", 7, 5.0)}  # transaction 3 is not whole yet
+    assert at(260) == {("a", 7, 2.0), ("b", 7, 5.0), ("a", 8, 3.0), ("b", 8, 4.0)} and at(300) == {("a", 7, 9.0), ("a", 8, 3.0), ("b", 8, 4.0)}
+    for t in (99, 301):
+        with pytest.raises(ledger.OutsideWindow):
+            at(t)
+    for t in (100, 260):
+        ledger.write_restored(ledger.restore(log, t, 100, 300, ["topic", "k"], ["v"]), str(tmp_path), t)
+    back = spark.read.parquet(str(tmp_path))
+    assert {r.at_ms: r["count"] for r in back.groupBy("at_ms").count().collect()} == {100: 2, 260: 4}
+
+
+def test_database_digest(spark):
+    tables = {k: v.cache() for k, v in population(spark, 3).items()}
+    whole = lambda t: {r.table_name: r.digest for r in fingerprint.database(fingerprint.clinic(t)).collect()}
+    one = whole(tables)
+    moved = dict(tables)
+    moved["patients"] = tables["patients"].withColumn("patient_id", F.col("patient_id") + 5000)
+    for t in ("appointments", "claims", "notes"):
+        moved[t] = tables[t].withColumn("patient_id", F.col("patient_id") + 5000).repartition(3)
+    assert whole(moved) == one and set(one) == {"*", "providers", "patients", "appointments", "claims", "notes"}
+    other = dict(tables)
+    other["claims"] = tables["claims"].withColumn("procedure_code", F.lit("1"))
+    changed = whole(other)
+    assert {k for k in one if one[k] != changed[k]} == {"*", "claims"}

@@ -4,8 +4,9 @@ policy FILE                          check a policy, print its rules and domains
 ops                                  worked examples of the operations
 schema POLICY TABLE RAW.json [OLD=NEW]  the clean schema of a raw envelope schema ('-': standard input)
 register STORE SUBJECT SCHEMA.json   store a schema version
-seed OUT [--seed N] [--dry-run]      write the synthetic clinic; prints each table's fingerprint
-churn OUT [--seed N] [--max-txns N]  write a generated ledger, and verify it
+seed OUT [--seed N] [--dry-run] [--quiet]  write the synthetic clinic; prints each table's fingerprint
+churn OUT [--seed N] [--max-txns N] [--max-entries N] [--rate R] [--duration S] [--quiet] [--dry-run]
+                                     write a generated ledger, and verify it; names the ceiling it stopped at
 clean POLICY TABLE IN OUT            de-identify a Parquet table; the salt is read from VEILSTREAM_SALT (hex)
 """
 
@@ -69,7 +70,12 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("out")
         s.add_argument("--seed", type=int, default=42)
         s.add_argument("--dry-run", action="store_true")
-        s.add_argument("--max-txns", type=int, default=200)
+        s.add_argument("--quiet", action="store_true")
+        if name == "churn":
+            s.add_argument("--max-txns", type=int, default=200)
+            s.add_argument("--max-entries", type=int, default=50_000)
+            s.add_argument("--rate", type=float, default=2.0)
+            s.add_argument("--duration", type=float, default=3600.0)
     s = sub.add_parser("clean")
     for a in ("policy", "table", "source", "out"):
         s.add_argument(a)
@@ -100,19 +106,26 @@ def main(argv: list[str] | None = None) -> int:
 
         for name, df in population(spark, args.seed).items():
             row = fingerprint(df).first()
-            print(f"{name}: {row.n_rows} rows, {row.digest}")
+            if not args.quiet:
+                print(f"{name}: {row.n_rows} rows, {row.digest}")
             if not args.dry_run:
                 df.write.mode("overwrite").parquet(f"{args.out}/{name}.parquet")
     elif args.command == "churn":
         from .generate import churn
+        from .generate.population import population
         from .operators import ledger
 
-        how = {"seed": args.seed, "transactions": args.max_txns}
-        log = churn.ledger(spark, **how)
-        bad = ledger.difference(ledger.replay(log, ["table_name", "row_id"], ["after_row"]), churn.state(spark, **how)).count()
-        bad += ledger.inversions(log).count() + ledger.split_transactions(log).count()
+        limits = churn.Ceilings(entries=args.max_entries, seconds=args.duration)
+        planned = churn.plan(args.seed, args.max_txns, churn.start_rows(population(spark, args.seed)), limits, rate=args.rate)
+        log = churn.ledger(spark, planned)
+        bad = ledger.difference(ledger.replay(log, ["table_name", "row_id"], ["after_row"]), churn.state(spark, planned)).count()
+        bad += ledger.inversions(log).count() + ledger.split_transactions(log).count() + sum(r.n_bad for r in churn.violations(spark, planned, limits).collect() if r.check != "shapes_missing")
         if not args.dry_run:
             log.write.mode("overwrite").parquet(args.out)
+        if not args.quiet:
+            for r in churn.report(spark, planned).collect():
+                print(f"{r.counter} {r.name}: {r.n}")
+        print(f"{sum(planned.shapes.values())} transactions, {len(planned.entries)} entries" + ("" if planned.stopped == "done" else f"; stopped at the ceiling of {planned.stopped}"))
         print("verified" if not bad else f"{bad} contradictions")
         return int(bad > 0)
     else:

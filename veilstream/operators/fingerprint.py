@@ -58,3 +58,31 @@ def natural(df: DataFrame, lookups: list[tuple[str, DataFrame, str, Column, str]
         spread = F.xxhash64(*[c for c in df.columns if c != column]) if len(df.columns) > 1 else F.rand(7)
         df = salted_join(df.withColumn("_key", F.col(f"`{column}`")), known, ["_key"], spread).drop("_key", column)
     return df.drop(*drop)
+
+
+def clinic(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The clinic's tables without surrogate keys: a patient is its mrn, a provider its npi, a visit mrn@scheduled_at, a note mrn@authored_at."""
+    mrn = ("patient_id", tables["patients"], "patient_id", F.col("mrn"), "patient")
+    npi = ("provider_id", tables["providers"], "provider_id", F.col("npi"), "provider")
+    text = lambda df, c: normal(F.col(c), df.schema[c].dataType)
+    named = {}
+    for table, key, at in (("appointments", "appointment_id", "scheduled_at"), ("notes", "note_id", "authored_at")):
+        df = tables[table].select(key, "patient_id", text(tables[table], at).alias("_at"))
+        named[table] = natural(df, [mrn]).select(key, F.concat_ws("@", "patient", "_at").alias("_name"))
+    visit = ("appointment_id", named["appointments"], "appointment_id", F.col("_name"), "visit")
+    amends = ("amends_note_id", named["notes"], "note_id", F.col("_name"), "amends")
+    return {
+        "providers": tables["providers"].drop("provider_id"), "patients": tables["patients"].drop("patient_id"), "appointments": natural(tables["appointments"], [mrn, npi], ["appointment_id"]),
+        "claims": natural(tables["claims"], [mrn, visit], ["claim_id"]), "notes": natural(tables["notes"], [mrn, npi, visit, amends], ["note_id"]),
+    }
+
+
+def database(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, n_rows, digest of each table, and of all of them together ('*'), which is a hash over the tables' digests by name."""
+    each = None
+    for name, df in sorted(tables.items()):
+        one = fingerprint(df).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+        each = one if each is None else each.unionByName(one)
+    line = F.concat_ws(":", "table_name", F.col("n_rows").cast("string"), "digest")
+    whole = each.agg(F.sum("n_rows").alias("n_rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("digest"))
+    return each.unionByName(whole.select(F.lit("*").alias("table_name"), "n_rows", "digest"))

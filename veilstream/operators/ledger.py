@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from .ordered import neighbour
 
 
-class BeforeWindow(ValueError):
-    """A point in time from before the capture of changes began."""
+class OutsideWindow(ValueError):
+    """A point in time of which nothing is known: before the capture of changes began, or after what was captured last."""
 
 
-def guard(at: datetime, captured_from: datetime) -> None:
-    """Raise if nothing is known about ``at``."""
+def guard(at, captured_from, captured_to=None) -> None:
+    """Raise if nothing is known about ``at``.  Both edges are known."""
     if at < captured_from:
-        raise BeforeWindow(f"{at.isoformat()} lies before {captured_from.isoformat()}, when the capture of changes began")
+        raise OutsideWindow(f"{at} lies before {captured_from}, when the capture of changes began")
+    if captured_to is not None and at > captured_to:
+        raise OutsideWindow(f"{at} lies after {captured_to}, the last that was captured")
 
 
 def replay(ledger: DataFrame, keys: list[str], values: list[str], at: datetime | Column | None = None, op: str = "op", instant: str = "tx_at", sequence: str = "history_id") -> DataFrame:
@@ -104,3 +106,21 @@ def snap_to_transactions(log: DataFrame, cuts: DataFrame, tx: str = "txid", topi
     kept = marked.where("_in").drop("_in", "cut_offset")
     alone = kept.where(F.col(tx).isNull())
     return kept.join(whole, tx, "left_semi").select(*log.columns).unionByName(alone.select(*log.columns))
+
+
+def restore(
+    log: DataFrame, at_ms: int, captured_from_ms: int, captured_to_ms: int | None, keys: list[str], values: list[str], tx: str = "txid", op: str = "op",
+    topic: str = "topic", partition: str = "partition", offset: str = "offset", ts: str = "ts_ms",
+) -> DataFrame:
+    """The state at ``at_ms`` from a log of changes: guarded, cut by a manifest, snapped to whole transactions, replayed.
+
+    ``at_ms`` itself counts.  The newest change of a key by time and offset wins; deleted keys are absent.
+    """
+    guard(at_ms, captured_from_ms, captured_to_ms)
+    kept = snap_to_transactions(log, manifest(log, at_ms, topic, partition, offset, ts), tx, topic, partition, offset)
+    return replay(kept, keys, values, None, op, ts, offset)
+
+
+def write_restored(state: DataFrame, path: str, at_ms: int) -> None:
+    """Write one restored state; states of other points in time under ``path`` stay, this one is replaced."""
+    state.write.mode("overwrite").parquet(f"{path.rstrip('/')}/at_ms={int(at_ms)}")

@@ -144,6 +144,20 @@ def snap_to_txn(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.snap_to_transactions(log, ledger.manifest(log, _middle_ms(spark, folder)))
 
 
+@query(
+    f"WITH {_LEDGER}, log AS (SELECT table_name AS topic, history_id % 3 AS partition, history_id AS \"offset\", (epoch_us(tx_at) // 1000) AS ts_ms, txid, user_id, op, value FROM ledger), cut AS (SELECT topic, partition,"
+    f" coalesce(min(CASE WHEN ts_ms > (epoch_us({_AT}) // 1000) THEN \"offset\" END), max(\"offset\") + 1) AS cut_offset FROM log GROUP BY 1, 2), marked AS (SELECT log.*, \"offset\" < cut_offset AS inside FROM log JOIN cut USING (topic, partition)),"
+    " kept AS (SELECT * FROM marked WHERE inside AND txid NOT IN (SELECT txid FROM marked WHERE NOT inside))"
+    " SELECT topic, user_id, value FROM (SELECT *, row_number() OVER (PARTITION BY topic, user_id ORDER BY ts_ms DESC, \"offset\" DESC) AS rn FROM kept) WHERE rn = 1 AND op <> 'D'"
+)
+def restore_at(spark: SparkSession, folder: str) -> DataFrame:
+    """The state at the median instant: guarded, cut, snapped to whole transactions, replayed."""
+    log = event_log(spark, folder).join(event_ledger(spark, folder).select(F.col("history_id").alias("offset"), "op", "value"), "offset")
+    edges = log.agg(F.min("ts_ms").alias("low"), F.max("ts_ms").alias("high")).first()
+    at = _middle_ms(spark, folder)
+    return ledger.restore(log, at, min(edges["low"] or 0, at), max(edges["high"] or 0, at), ["topic", "user_id"], ["value"])
+
+
 # --- references -------------------------------------------------------------------------------------------
 
 _CHAIN = (
@@ -259,22 +273,10 @@ def _hash_sql(columns: dict[str, str], source: str) -> str:
     return f"SELECT count(*) AS n_rows, sha256({sums}) AS digest FROM (SELECT sha256(concat_ws(chr(30), {parts})) AS h FROM {source})"
 
 
-@query(_hash_sql({"c_custkey": "c_custkey::VARCHAR", "c_mktsegment": "c_mktsegment", "c_name": "c_name", "c_nationkey": "c_nationkey::VARCHAR"}, "customer"))
+@query(_hash_sql({"c_acctbal": "c_acctbal::DECIMAL(38,2)::VARCHAR", "c_custkey": "c_custkey::VARCHAR", "c_mktsegment": "c_mktsegment", "c_name": "c_name", "c_nationkey": "c_nationkey::VARCHAR"}, "customer"))
 def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprint.fingerprint(table(spark, folder, "customer"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-
-
-@query(
-    _hash_sql(
-        {"claim_status": "claim_status", "billed_amount": "billed_amount::DECIMAL(38,2)::VARCHAR", "mrn": "mrn", "loaded_at": "strftime(loaded_at, '%Y-%m-%dT%H:%M:%S.%f')"},
-        "(SELECT c.claim_status, c.billed_amount, c.loaded_at, p.mrn FROM claims c LEFT JOIN (SELECT patient_id, min(mrn) AS mrn FROM patients GROUP BY 1) p USING (patient_id))",
-    )
-)
-def claims_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    """Of the claims by natural key: no surrogate key goes into it."""
-    people = table(spark, folder, "patients").groupBy("patient_id").agg(F.min("mrn").alias("mrn"))
-    claims = table(spark, folder, "claims").select("claim_status", "billed_amount", "loaded_at", "patient_id")
-    return fingerprint.fingerprint(fingerprint.natural(claims, [("patient_id", people, "patient_id", F.col("mrn"), "mrn")]))
+    df = table(spark, folder, "customer")
+    return fingerprint.fingerprint(df.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(38,2)")))
 
 
 @query("WITH w AS (SELECT p_partkey, p_size::DOUBLE * 7777 / (SELECT sum(p_size)::DOUBLE FROM part) AS q FROM part), r AS (SELECT p_partkey, floor(q) AS b, q - floor(q) AS f FROM w) SELECT p_partkey, (b + CASE WHEN row_number() OVER (ORDER BY f DESC, p_partkey) <= 7777 - (SELECT sum(b) FROM r) THEN 1 ELSE 0 END)::BIGINT AS share FROM r")
@@ -288,3 +290,42 @@ def spread_instants(spark: SparkSession, folder: str) -> DataFrame:
     """Events of a user on one day, kept a microsecond apart."""
     df = table(spark, folder, "events").select("event_id", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"))
     return apportion.spread_instants(df, ["user_id"], "ts", "event_id")
+
+
+_NAMES = """
+pat AS (SELECT patient_id, min(mrn) AS patient FROM patients WHERE patient_id IS NOT NULL GROUP BY 1), prov AS (SELECT provider_id, min(npi) AS provider FROM providers WHERE provider_id IS NOT NULL GROUP BY 1),
+vis AS (SELECT appointment_id, min(concat_ws('@', patient, scheduled_at)) AS visit FROM appointments LEFT JOIN pat USING (patient_id) WHERE appointment_id IS NOT NULL GROUP BY 1),
+ams AS (SELECT note_id AS amends_note_id, min(concat_ws('@', patient, authored_at)) AS amends FROM notes LEFT JOIN pat USING (patient_id) WHERE note_id IS NOT NULL GROUP BY 1)"""
+_AT_TEXT, _MONEY = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')", "{c}::DECIMAL(38,2)::VARCHAR"
+_CLINIC_COLUMNS = {
+    "providers": ("npi full_name specialty email created_at updated_at", "providers"),
+    "patients": ("mrn first_name middle_name last_name date_of_birth ssn email phone address_line1 address_line2 city state postal_code created_at updated_at", "patients"),
+    "appointments": ("patient provider scheduled_at checked_in_at completed_at duration_minutes status location_name intake_answers created_at updated_at", "appointments LEFT JOIN pat USING (patient_id) LEFT JOIN prov USING (provider_id)"),
+    "claims": ("patient visit billed_amount allowed_amount paid_amount patient_responsibility diagnosis_codes procedure_code claim_status submitted_at adjudicated_at created_at updated_at", "claims LEFT JOIN pat USING (patient_id) LEFT JOIN vis USING (appointment_id)"),
+    "notes": ("patient provider visit amends note_type body authored_at signed_at is_amended created_at updated_at", "notes LEFT JOIN pat USING (patient_id) LEFT JOIN prov USING (provider_id) LEFT JOIN vis USING (appointment_id) LEFT JOIN ams USING (amends_note_id)"),
+}
+
+
+def _clinic_hash_sql(only: str | None = None) -> str:
+    how = {c: _MONEY for c in ("billed_amount", "allowed_amount", "paid_amount", "patient_responsibility")} | {"loaded_at": _AT_TEXT, "date_of_birth": "strftime({c}, '%Y-%m-%d')", "diagnosis_codes": "to_json({c})::VARCHAR"}
+    each = []
+    for name, (columns, source) in sorted(_CLINIC_COLUMNS.items()):
+        exprs = {c: how.get(c, "{c}::VARCHAR").format(c=c) for c in [*columns.split(), "loaded_at"]}
+        each.append(f"(SELECT '{name}' AS table_name, n_rows, digest FROM ({_hash_sql(exprs, '(SELECT * FROM ' + source + ')')}))")
+    if only is not None:
+        return f"WITH {_NAMES} SELECT n_rows, digest FROM {dict(zip(sorted(_CLINIC_COLUMNS), each))[only]}"
+    union = " UNION ALL ".join(f"SELECT * FROM {e}" for e in each)
+    return f"WITH {_NAMES}, each AS ({union}) SELECT * FROM each UNION ALL SELECT '*', sum(n_rows)::BIGINT, sha256(string_agg(table_name || ':' || n_rows || ':' || digest, chr(10) ORDER BY table_name)) FROM each"
+
+
+@query(_clinic_hash_sql())
+def database_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """All five tables by natural keys, every column of them, and the database as a whole."""
+    names = ("providers", "patients", "appointments", "claims", "notes")
+    return fingerprint.database(fingerprint.clinic({n: table(spark, folder, n) for n in names}))
+
+
+@query(_clinic_hash_sql("claims"))
+def claims_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the claims by natural keys: no surrogate key goes into it, every other column does."""
+    return fingerprint.fingerprint(fingerprint.clinic({n: table(spark, folder, n) for n in ("providers", "patients", "appointments", "claims", "notes")})["claims"])
