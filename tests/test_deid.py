@@ -200,3 +200,13 @@ def test_envelopes_change_inside_only(spark):
 
 def test_all_pairs_are_reachable():
     assert set(deid._BUILDERS) == set(P.OPS) and len(list(itertools.product(RULES, DOMAIN))) == 168
+
+
+def test_numbers_in_other_spellings_and_wide_codes(spark):
+    from veilstream.operators.deid import icd10_category, jitter_text
+
+    cases = {"1E3": "1500", "1_000": "1500", " 1_000.50 ": "1500.75", "12e-3": "0.018", "-1.5e1": "-23", "2e2": "300", ".5": "0.8", "1e99x": None, "_1": None, "nan": None, "5e-1": "0.8"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.v for r in df.select("t", jitter_text(F.col("t"), F.lit(1_500_000)).alias("v")).collect()} == cases
+    codes = spark.createDataFrame([("Ｅ１１.9",), ("　ｍ54",), ("é11",)], "c string")
+    assert [r[0] for r in codes.select(icd10_category(F.col("c"))).collect()] == ["E11", "M54", None]

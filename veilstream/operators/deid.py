@@ -7,6 +7,7 @@ column when it is built or gives values of the type it derived.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
@@ -128,9 +129,13 @@ def zip3(c: Column) -> Column:
     return F.when(F.length(digits) >= 5, F.when(head.isin(RESTRICTED_ZIP3), F.lit("000")).otherwise(head))
 
 
+#: Letters and digits of full width, by the plain ones.
+_WIDE = "".join(chr(0xFEE0 + ord(x)) for x in string.digits + string.ascii_letters)
+
+
 def icd10_category(c: Column) -> Column:
-    """The three-character category: letter, digit, letter or digit; else null.  ASCII letters and digits."""
-    head = F.substring(F.upper(F.regexp_replace(c, r"^\s+|\s+$", "")), 1, 3)
+    """The three-character category: letter, digit, letter or digit; else null.  ASCII letters and digits, those of full width included."""
+    head = F.substring(F.upper(F.regexp_replace(F.translate(c, _WIDE, string.digits + string.ascii_letters), r"^[\s\u3000]+|[\s\u3000]+$", "")), 1, 3)
     return F.when(head.rlike("^[A-Z][0-9][A-Z0-9]$"), head)
 
 
@@ -239,10 +244,23 @@ def _date_shift(rule, raw, keys):
     return raw, lambda k, c, d: F.when(c.isNotNull(), keyed.clamp(c.cast("decimal(38,0)") + (d * F.lit(units)).cast("decimal(38,0)"), spark))
 
 
+def _written_out(t: Column) -> Column:
+    """A number without underscores between its digits and with its exponent carried out: 1_000.5 as 1000.5, 12e-3 as 0.012."""
+    bare = F.when(t.rlike(r"^[+-]?(\d[\d_]*\.?[\d_]*|\.\d[\d_]*)([eE][+-]?\d{1,2})?$"), F.regexp_replace(t, "_", ""))
+    mantissa = F.regexp_replace(bare, "[eE].*$", "")
+    digits, power = F.regexp_replace(mantissa, "[^0-9]", ""), F.regexp_extract(bare, r"[eE]([+-]?\d+)$", 1).try_cast("int")
+    shift = power - F.length(F.regexp_extract(mantissa, r"\.(\d*)$", 1))
+    longer = F.rpad(digits, F.length(digits) + F.greatest(shift, F.lit(0)), F.lit("0"))
+    padded = F.lpad(digits, F.greatest(F.length(digits), 1 - shift), F.lit("0"))
+    broken = F.concat(F.substring(padded, F.lit(1), F.length(padded) + shift), F.lit("."), F.right(padded, -shift))
+    sign = F.when(bare.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(power.isNull(), mantissa).otherwise(F.concat(sign, F.when(shift >= 0, longer).otherwise(broken)))
+
+
 def jitter_text(c: Column, parts: Column) -> Column:
-    """A decimal number in a string times parts / 10^6, rounded half up to its own scale; null for what is no plain
-    number of at most 28 digits (exponents, nan and inf included)."""
-    t = F.regexp_replace(c, r"^\s+|\s+$", "")
+    """A decimal number in a string times parts / 10^6, rounded half up to its own scale; null for what is no
+    number of at most 28 digits when written out (nan and inf included)."""
+    t = _written_out(F.regexp_replace(c, r"^\s+|\s+$", ""))
     scale = F.length(F.regexp_extract(t, r"\.(\d*)$", 1))
     digits = F.regexp_replace(t, r"[^0-9]", "")
     fits = t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$") & (F.length(F.regexp_replace(digits, "^0+", "")) <= 28)

@@ -18,8 +18,8 @@ RESERVED = frozenset({"source", "op", "ts_ms", "transaction"})
 HALT, DROP = "halt_topic", "drop_column"
 TARGETS = ("zip3", "icd10_category", "year", "month", "birth_year", "age_band")
 CAPPED = ("birth_year", "age_band")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*\Z")
-_TABLE = re.compile(r"[A-Za-z_][A-Za-z0-9_]*\.[A-Za-z_][A-Za-z0-9_]*\Z")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*\Z")
+_TABLE = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*\.[A-Za-z_][A-Za-z0-9_$]*\Z")
 
 
 class PolicyError(Exception):
