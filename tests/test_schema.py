@@ -96,3 +96,17 @@ def test_questions():
     assert avro.non_null(["null", "int", "string"]) == ["int", "string"] and avro.nullable("int") == ["null", "int"] and avro.like("int", ["null", "x"]) == ["null", "int"]
     assert avro.logical({"type": "int", "logicalType": "date", "connect.name": avro.DATE}) == avro.DATE
     assert avro.describe(["null", {"type": "long", "connect.name": avro.MICRO}]) == f"null | long ({avro.MICRO})"
+
+
+def test_registered_against_derived(tmp_path):
+    clean = schema.derive_clean_schema(ENVELOPE, policy(), "public.t", KEYS)
+    store = schema.SchemaStore(str(tmp_path))
+    store.register("clean", clean)
+    check = lambda s: schema.contradictions(s, ENVELOPE, policy(), "public.t", KEYS)
+    assert check(store.get("clean")) == []
+    assert any("ssn is dropped by the policy but registered" in x for x in check(ENVELOPE))
+    bent = json.loads(json.dumps(clean))
+    fields = schema.row_fields(bent)
+    gone = fields.pop()["name"]
+    fields.append({"name": "extra", "type": "string"})
+    assert check(bent) == [f"column {gone} is kept by the policy but not registered", "column extra is registered but not in the source"]

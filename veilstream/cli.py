@@ -4,6 +4,8 @@ policy FILE                          check a policy, print its rules and domains
 ops                                  worked examples of the operations
 schema POLICY TABLE RAW.json [OLD=NEW]  the clean schema of a raw envelope schema ('-': standard input)
 register STORE SUBJECT SCHEMA.json   store a schema version
+check STORE SUBJECT POLICY TABLE RAW.json [OLD=NEW]
+                                     whether the registered schema is the one the policy derives
 seed OUT [--seed N] [--dry-run] [--quiet]  write the synthetic clinic; prints each table's fingerprint
 churn OUT [--seed N] [--max-txns N] [--max-entries N] [--rate R] [--duration S] [--quiet] [--dry-run]
                                      write a generated ledger, and verify it; names the ceiling it stopped at
@@ -65,6 +67,10 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("register")
     for a in ("store", "subject", "schema"):
         s.add_argument(a)
+    s = sub.add_parser("check")
+    for a in ("store", "subject", "policy", "table", "raw"):
+        s.add_argument(a)
+    s.add_argument("namespace", nargs="?")
     for name in ("seed", "churn"):
         s = sub.add_parser(name)
         s.add_argument("out")
@@ -84,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.policy import main as check
 
         return check([args.file])
-    if args.command in ("schema", "register"):
+    if args.command in ("schema", "register", "check"):
         from .plans import schema as C
         from .plans.policy import load_policy
 
@@ -92,6 +98,10 @@ def main(argv: list[str] | None = None) -> int:
             print(C.SchemaStore(args.store).register(args.subject, _read(args.schema)))
             return 0
         space = tuple(args.namespace.split("=")) if args.namespace else None
+        if args.command == "check":
+            bad = C.contradictions(C.SchemaStore(args.store).get(args.subject), _read(args.raw), load_policy(args.policy), args.table, Keys(bytes(16)), space)
+            print("\n".join(bad) or "as derived")
+            return int(bool(bad))
         print(json.dumps(C.derive_clean_schema(_read(args.raw), load_policy(args.policy), args.table, Keys(bytes(16)), space), indent=1, ensure_ascii=False))
         return 0
     from .session import local_session

@@ -8,6 +8,7 @@ from copy import deepcopy
 from dataclasses import dataclass
 from typing import Any
 
+from pyarrow import fs as pafs
 from pyspark.sql import types as T
 
 from ..functions.keyed import Keys
@@ -230,16 +231,47 @@ def dropped_columns(raw: list[dict], clean: list[dict]) -> list[str]:
     return [f["name"] for f in raw if f["name"] not in left]
 
 
+def row_fields(envelope: dict) -> list[dict]:
+    """The fields of an envelope's row image."""
+    known = definitions(envelope)
+    inner = avro.non_null(next(f["type"] for f in envelope["fields"] if f["name"] == "after"))
+    if isinstance(inner, dict):
+        return inner["fields"]
+    return known[_full(inner, envelope.get("namespace"))]["fields"]
+
+
+def contradictions(registered: dict, raw: dict, policy: P.Policy, table: str, keys: Keys, namespace: tuple[str, str] | None = None) -> list[str]:
+    """What a registered clean schema and the one derived from the raw schema disagree in; empty when all is well.
+
+    Of the raw columns exactly those the policy drops must be absent, no other may be added, and the whole must
+    equal what is derived.
+    """
+    derived = derive_clean_schema(raw, policy, table, keys, namespace)
+    before, now, want = row_fields(raw), row_fields(registered), row_fields(derived)
+    names = [f["name"] for f in now]
+    out = [f"column {n} is dropped by the policy but registered" for n in dropped_columns(before, want) if n in names]
+    out += [f"column {n} is kept by the policy but not registered" for n in (f["name"] for f in want) if n not in names]
+    out += [f"column {n} is registered but not in the source" for n in names if n not in {f["name"] for f in before}]
+    types = {f["name"]: f for f in want}
+    out += [f"column {f['name']} is registered with another type or default" for f in now if f["name"] in types and not same_schema({"type": "record", "name": "r", "fields": [f]}, {"type": "record", "name": "r", "fields": [types[f["name"]]]})]
+    if not out and not same_schema(registered, derived):
+        out.append("the registered schema is another one than the derived")
+    return out
+
+
 class SchemaStore:
-    """Versions of schemas by subject, as JSON files in a folder."""
+    """Versions of schemas by subject, as JSON files in a folder: a path, or a URI of any file system pyarrow knows (hdfs, s3, gs)."""
 
     def __init__(self, folder: str):
-        self.folder = folder
-        os.makedirs(folder, exist_ok=True)
+        self.fs, self.folder = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), os.path.abspath(folder))
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def _names(self) -> list[str]:
+        return [f.base_name for f in self.fs.get_file_info(pafs.FileSelector(self.folder)) if f.is_file]
 
     def _files(self, subject: str) -> list[str]:
         head = subject.replace("/", "_") + ".v"
-        return sorted((f for f in os.listdir(self.folder) if f.startswith(head)), key=lambda f: int(f[len(head):-5]))
+        return sorted((f for f in self._names() if f.startswith(head) and f[len(head):-5].isdigit()), key=lambda f: int(f[len(head):-5]))
 
     def register(self, subject: str, schema: Any) -> int:
         """Version of the schema; an equal newest one is not stored again."""
@@ -247,22 +279,22 @@ class SchemaStore:
         files = self._files(subject)
         if files and same_schema(self.get(subject), schema):
             return len(files)
-        with open(os.path.join(self.folder, f"{subject.replace('/', '_')}.v{len(files) + 1}.json"), "w", encoding="utf-8") as f:
-            json.dump(schema, f, ensure_ascii=False, indent=1)
+        with self.fs.open_output_stream(f"{self.folder}/{subject.replace('/', '_')}.v{len(files) + 1}.json") as f:
+            f.write(json.dumps(schema, ensure_ascii=False, indent=1).encode())
         return len(files) + 1
 
     def get(self, subject: str, version: int | None = None) -> Any:
         files = self._files(subject)
         if not files or (version is not None and not 1 <= version <= len(files)):
             raise KeyError(f"no such schema: {subject}" + (f" version {version}" if version else ""))
-        with open(os.path.join(self.folder, files[(version or len(files)) - 1]), encoding="utf-8") as f:
-            return json.load(f)
+        with self.fs.open_input_stream(f"{self.folder}/{files[(version or len(files)) - 1]}") as f:
+            return json.loads(f.read())
 
     def subjects(self) -> list[str]:
-        return sorted({f.rsplit(".v", 1)[0] for f in os.listdir(self.folder)})
+        return sorted({f.rsplit(".v", 1)[0] for f in self._names()})
 
     def delete(self, subject: str) -> int:
         files = self._files(subject)
         for f in files:
-            os.remove(os.path.join(self.folder, f))
+            self.fs.delete_file(f"{self.folder}/{f}")
         return len(files)
