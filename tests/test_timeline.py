@@ -249,3 +249,16 @@ def test_database_digest(spark):
     other["claims"] = tables["claims"].withColumn("procedure_code", F.lit("1"))
     changed = whole(other)
     assert {k for k in one if one[k] != changed[k]} == {"*", "claims"}
+
+
+def test_delete_all_and_truncates(spark):
+    tables = {"a": spark.range(3), "b": spark.range(2).withColumn("a", F.col("id")), "c": spark.range(1).withColumn("b", F.col("id")).withColumn("c", F.col("id"))}
+    refs = (cascade.Reference("b", "id", "a", "a", cascade.CASCADE), cascade.Reference("c", "id", "b", "b", cascade.CASCADE), cascade.Reference("c", "id", "c", "c", cascade.SET_NULL))
+    got = cascade.delete_all(tables, refs)
+    assert {(r.table_name, r.step): r["count"] for r in got.groupBy("table_name", "step").count().collect()} == {("c", 0): 1, ("b", 1): 2, ("a", 2): 3}
+    with pytest.raises(ValueError):
+        cascade.delete_all(tables, (*refs, cascade.Reference("a", "id", "id", "c", cascade.CASCADE)))
+    ops = lambda *x: cascade.refuse_truncates(spark.createDataFrame([(o,) for o in x], "op string"))
+    assert [r.op for r in ops("c", "d", None).collect()] == ["c", "d", None]
+    with pytest.raises(Exception, match="TruncateRefused"):
+        ops("c", "t").collect()

@@ -90,3 +90,29 @@ def consequences(tables: dict[str, DataFrame], references: tuple[Reference, ...]
             continue
         out = out.unionByName(kids.select("table_name", "row_id", F.lit("U").alias("op"), F.lit(r.field).alias("field"), "depth"))
     return out
+
+
+def delete_all(tables: dict[str, DataFrame], references: tuple[Reference, ...]) -> DataFrame:
+    """table_name, row_id, op (D), step: a delete for every row, tables that refer before those they refer to.
+
+    Tables of one step do not refer to each other.  A table's references to itself do not count; other cycles
+    raise ValueError.
+    """
+    left, step, steps = set(tables), 0, {}
+    while left:
+        free = {t for t in left if not any(r.parent == t and r.child in left and r.child != t for r in references)}
+        if not free:
+            raise ValueError(f"references in a circle: {', '.join(sorted(left))}")
+        steps.update(dict.fromkeys(free, step))
+        left, step = left - free, step + 1
+    ids, out = {r.child: r.child_id for r in references}, None
+    for name, df in tables.items():
+        one = df.select(F.lit(name).alias("table_name"), F.col(ids.get(name) or df.columns[0]).cast("bigint").alias("row_id"), F.lit("D").alias("op"), F.lit(steps[name]).alias("step"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def refuse_truncates(envelopes: DataFrame, op: str = "op") -> DataFrame:
+    """The envelopes; the first truncation (t) among them raises as it is read."""
+    message = F.concat(F.lit("TruncateRefused: a truncation of "), F.coalesce(F.col("source.table") if "source" in envelopes.columns else F.lit(None).cast("string"), F.lit("a table")))
+    return envelopes.withColumn(op, F.when(F.lower(F.col(op)) == "t", F.raise_error(message).cast("string")).otherwise(F.col(op)))

@@ -93,6 +93,26 @@ def shared_instants(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.shared_instants(bent_ledger(spark, folder))
 
 
+@query(f"WITH {_LEDGER} SELECT date_trunc('hour', tx_at) AS tx_at, count(DISTINCT txid) AS n_transactions FROM ledger GROUP BY 1 HAVING count(DISTINCT txid) > 1")
+def shared_instants_bent(spark: SparkSession, folder: str) -> DataFrame:
+    """The same check where there is something to find: a ledger that knows hours only."""
+    return ledger.shared_instants(event_ledger(spark, folder).withColumn("tx_at", F.date_trunc("hour", "tx_at").cast("timestamp_ntz")))
+
+
+@query(f"WITH {_LEDGER} SELECT row_number() OVER (ORDER BY stmt_at, table_name, history_id) AS place, history_id, table_name FROM ledger")
+def ledger_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """All entries by statement, table and number, without a sort in one task."""
+    rows = event_ledger(spark, folder).select("history_id", "table_name", "stmt_at")
+    return identify.dense_ids(rows, ["stmt_at", "table_name", "history_id"], "place").drop("stmt_at")
+
+
+@query("SELECT row_number() OVER (ORDER BY l_orderkey::VARCHAR, l_linenumber::VARCHAR) AS place, l_orderkey, l_linenumber FROM lineitem")
+def keys_as_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in the order of their keys as texts: 10 comes before 9."""
+    df = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("_a"), F.col("l_linenumber").cast("string").alias("_b"))
+    return identify.dense_ids(df, ["_a", "_b"], "place").drop("_a", "_b")
+
+
 @query(f"WITH {_LEDGER} SELECT txid, count(DISTINCT table_name) AS n_tables, count(*) AS n_entries FROM ledger GROUP BY 1 HAVING count(DISTINCT table_name) > 1")
 def multi_table_txns(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.wide_transactions(event_ledger(spark, folder))
@@ -182,6 +202,14 @@ def cascade_delete_fanout(spark: SparkSession, folder: str) -> DataFrame:
     return cascade.consequences(_chain(spark, folder), _CHAIN, doomed)
 
 
+@query(
+    "SELECT 'lineitem' AS table_name, l_orderkey * 8 + l_linenumber AS row_id, 'D' AS op, 0 AS step FROM lineitem UNION ALL SELECT 'orders', o_orderkey, 'D', 1 FROM orders UNION ALL SELECT 'customer', c_custkey, 'D', 2 FROM customer"
+)
+def delete_all_events(spark: SparkSession, folder: str) -> DataFrame:
+    """One delete per row of all tables, referring rows before those they refer to."""
+    return cascade.delete_all(_chain(spark, folder), _CHAIN)
+
+
 @query(
     "WITH a AS (SELECT DISTINCT appointment_id FROM appointments WHERE status = 'cancelled'), c AS (SELECT DISTINCT claim_id FROM claims SEMI JOIN a USING (appointment_id)), n AS (SELECT DISTINCT note_id FROM notes SEMI JOIN a USING (appointment_id))"
     " SELECT 'appointments' AS table_name, appointment_id AS row_id, 'D' AS op, '' AS field, 0 AS depth FROM a UNION ALL SELECT 'claims', claim_id, 'D', '', 1 FROM c UNION ALL SELECT 'notes', note_id, 'U', 'appointment_id', 1 FROM n"
