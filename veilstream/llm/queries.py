@@ -59,6 +59,13 @@ def p7_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(back, "doc_id").where("text <> decoded").select("doc_id")
 
 
+def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ids of every document decode to: its length and digest."""
+    ids = bpe.encode_corpus(table(spark, folder, "documents"), "doc_id", "text", ranks_path())
+    back = bpe.decode_corpus(ids, "doc_id", "ids", ranks_path())
+    return back.select("doc_id", F.length(F.encode("text", "UTF-8")).cast("bigint").alias("n_bytes"), F.md5(F.encode("text", "UTF-8")).alias("digest"))
+
+
 # --- p8: mixing ----------------------------------------------------------------------------
 
 
@@ -111,5 +118,8 @@ def p9_review(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("category").agg(F.count(F.lit(1)).alias("n_labels"), F.sum(agree.cast("int")).alias("n_agree"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_redacted": p4_redacted, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_review": p9_review, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares}
-SQL = {"p7_round_trip": "SELECT doc_id FROM documents WHERE false"}
+QUERIES = {"p4_found": p4_found, "p4_redacted": p4_redacted, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_review": p9_review, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p7_decoded": p7_decoded, "p8_mix": p8_mix, "p8_shares": p8_shares}
+SQL = {
+    "p7_round_trip": "SELECT doc_id FROM documents WHERE false",
+    "p7_decoded": "SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes, md5(coalesce(text, '')) AS digest FROM documents",
+}

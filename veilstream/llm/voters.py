@@ -100,8 +100,18 @@ PHRASES: dict[str, str] = {
     "quoted": r"(?:called|calls|calling) (?:me|him|her|us|them|it|staff|someone)|(?:was|were|been|being) (?:told|called|shouted)|abuse (?:towards|of|against)|sexual (?:health|history|abuse|assault|function)",
 }
 
+#: Words without one of which a phrase is not said.
+TRIGGERS: dict[str, frozenset[str]] = {k: frozenset(v.split()) for k, v in {
+    "dismiss": "shut hell rot die hang fuck piss bugger sod lost screw crawl drop dropped up halt halts haltet cállate vete ferme fermez fermer ta va закрой заткнись пошёл пошел 滚 黙れ",
+    "below": "than fit brain braincell shame sick never not", "inhuman": "human humans subhuman subhumans menschen humain humains humanos люди нелюди", "nature": "nature birth blood genes dna born every each same always natur naturaleza природе крови",
+    "back": "back out away off home where raus weg larguen vayan les гоните вон", "fade": "let die wipe wiped wiping rid gas", "warned": "watch better shoulder where warned dead finished else",
+    "lurk": "where behind wait waiting waits find follow following follows come after pay regret sorry see hurt", "advance": "my over down sex night off your without touching make makes making love",
+    "selfish": "feel am m was look me felt stupid", "quoted": "called calls calling told shouted abuse sexual",
+}.items()}
+
 HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
-SENTENCE = re.compile(r"(?<=[^!][.!?])\s+|[\r\n]+|(?<=[。！？।؟])\s*|\s{2,}(?=[A-Z])")
+LINE, BLACK = re.compile(r"[\r\n]+"), re.compile(r"\S+")
+STOP = re.compile(r"[.!?\s。！？।؟](?:(?<=[^!][.!?])\s+|(?<=[。！？।؟])\s*|(?<=\s)\s+(?=[A-Z]))")
 SPEAKER = re.compile(r"^\s*(?:[-•*]\s*)?(?:\w{2,8}:\s+)?")
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_]{1,2}){2,}[^\W\d_]{1,2}(?![^\W_])")
 TOKEN = re.compile(r"[^\s,;:?\"“”()\[\]<>]+")
@@ -110,6 +120,8 @@ LATIN, CYRILLIC = re.compile("[a-z]"), re.compile("[Ѐ-ӿ]")
 RUN = re.compile(r"(.)\1+")
 LONG_RUN = re.compile(r"(\w)\1\1")
 ODD = re.compile(r"[*$@]|[a-z]\d|\d[a-z]|(\w)\1\1|[Ѐ-ӿ]", re.I)
+#: Quick looks: whether letters may be set apart, and whether there are signs that disguises are made of.
+SET_APART, SIGNS = re.compile(r"[^\W\d_][ .\-_]{1,2}[^\W\d_][ .\-_]{1,2}[^\W\d_]"), re.compile(r"[*$@\dЀ-ӿ]")
 #: Letters that look alike, by the Latin letter they stand for, and signs that stand for letters.
 LOOKALIKES = str.maketrans("аеорсухіѕјԁһӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαν", "aeopcyxisjdhlABEZHIKMNOPTYXoav")
 LEET = str.maketrans("013457$@!9", "oieastsaig")
@@ -195,26 +207,40 @@ def repair(segment: str) -> str:
     """Lower case, without hidden characters, look-alike letters, digits for letters, stretched, masked or spaced words."""
     s = segment if segment.isascii() else unicodedata.normalize("NFKC", HIDDEN.sub("", segment))
     s = s.lower()
-    s = SPACED.sub(_joined, s)
-    if ODD.search(s):
+    if SET_APART.search(s):
+        s = SPACED.sub(_joined, s)
+    if (ODD if SIGNS.search(s) else LONG_RUN).search(s):
         s = TOKEN.sub(lambda m: _plain(m.group(0)), s)
     return s
 
 
+def _sentences(line: str) -> list[str]:
+    out, at = [], 0
+    for m in STOP.finditer(line):
+        i = m.start()
+        out.append(line[at:i if line[i].isspace() else i + 1])
+        at = m.end()
+    out.append(line[at:])
+    return out
+
+
 def segments(text: str) -> list[str]:
     """Sentences, lines and turns of a text, without speaker labels; long ones as windows of ``WINDOW`` words that overlap by half."""
     out = []
-    for s in SENTENCE.split(text):
-        t = SPEAKER.sub("", s).strip()
-        if len(t) <= 4 * WINDOW:
-            if t:
+    for line in LINE.split(text):
+        for s in _sentences(line):
+            t = s.strip()
+            if ":" in t or t[:1] in "-•*":
+                t = SPEAKER.sub("", t).strip()
+            if len(t) <= 4 * WINDOW:
+                if t:
+                    out.append(t)
+                continue
+            ends = [m.span() for m in BLACK.finditer(t)]
+            if len(ends) <= WINDOW * 3 // 2:
                 out.append(t)
-            continue
-        ends = [m.span() for m in re.finditer(r"\S+", t)]
-        if len(ends) <= WINDOW * 3 // 2:
-            out.append(t)
-        else:
-            out += [t[ends[i][0]:ends[min(i + WINDOW, len(ends)) - 1][1]] for i in range(0, len(ends) - WINDOW // 2, WINDOW // 2)]
+            else:
+                out += [t[ends[i][0]:ends[min(i + WINDOW, len(ends)) - 1][1]] for i in range(0, len(ends) - WINDOW // 2, WINDOW // 2)]
     return out
 
 
@@ -246,8 +272,9 @@ def classes(word: str) -> tuple[str, ...]:
 class Seen:
     """A segment's words by class."""
 
-    def __init__(self, repaired: str, tokens: list[str]):
-        self.text = " ".join(tokens)
+    def __init__(self, tokens: list[str]):
+        self.tokens, self.said, self.text = tokens, set(tokens), ""
+        self.known: dict[str, bool] = {}
         self.at: dict[str, list[int]] = {}
         self.any = 0
         for i, w in enumerate(tokens):
@@ -284,7 +311,14 @@ class Seen:
         return any(self.near("you", c, 4) for c in ("insult", "contempt", "beast", "vice"))
 
     def says(self, phrase: str) -> bool:
-        return _PHRASE[phrase].search(self.text) is not None
+        got = self.known.get(phrase)
+        if got is None:
+            got = not TRIGGERS[phrase].isdisjoint(self.said)
+            if got:
+                self.text = self.text or " ".join(self.tokens)
+                got = _PHRASE[phrase].search(self.text) is not None
+            self.known[phrase] = got
+        return got
 
 
 #: What a voter's vote is worth before any data is seen: right nearly always, half the time, seldom, or a vote against.
@@ -365,7 +399,7 @@ _TELLING = sum({BIT[c] for c in "insult contempt curse harm death nobody beast v
 
 def votes(tokens: list[str]) -> tuple[int, int, int]:
     """Of each category, the bits of the voters that fire on a repaired segment's words."""
-    s = Seen("", tokens)
+    s = Seen(tokens)
     if not s.any & _TELLING:
         return 0, 0, 0
     out = []
