@@ -54,7 +54,7 @@ class ContentModel:
             self._table = {f: tuple(k.weights.get(f, 0.0) for k in each) for k in each for f in k.weights}
             self._bias, self._words = [k.bias for k in each], {}
         table, own = self._table, self._words
-        parts = []
+        x, y, z = self._bias
         for w in words:
             v = own.get(w)
             if v is None:
@@ -63,9 +63,16 @@ class ContentModel:
                 got = [table[f] for f in own_features(w, voters.classes(w)) if f in table]
                 v = own[w] = tuple(map(sum, zip(*got))) if got else ()
             if v:
-                parts.append(v)
-        parts += [table[f] for f in joint_features(words, voters.classes) if f in table]
-        return tuple(1 / (1 + math.exp(-max(-30.0, min(30.0, b + sum(p[k] for p in parts))))) for k, b in enumerate(self._bias))
+                x += v[0]
+                y += v[1]
+                z += v[2]
+        for f in joint_features(words, voters.classes):
+            v = table.get(f)
+            if v is not None:
+                x += v[0]
+                y += v[1]
+                z += v[2]
+        return tuple(1 / (1 + math.exp(-max(-30.0, min(30.0, q)))) for q in (x, y, z))
 
     def __getstate__(self):
         return {"labels": self.labels, "classifiers": self.classifiers}
@@ -76,6 +83,7 @@ LIKELY = 0.25
 #: Likely segments of each voter that the sample holds at least, if there are so many.
 EACH = 200
 
+NONE = (0,) * len(voters.CATEGORIES)
 _SURVEY = "kind string, category int, mask int, n bigint, draw double, segment string, votes array<int>"
 
 
@@ -92,7 +100,7 @@ def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            counts: Counter = Counter()
+            together: Counter = Counter()
             drawn = []
             by_voter: dict[tuple[int, int], list] = {}
             for i, t in zip(p[id_column], p[text]):
@@ -100,11 +108,10 @@ def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int)
                     continue
                 for k, s in enumerate(voters.segments(t)):
                     masks = voters.judged(s)[1]
-                    for c, m in enumerate(masks):
-                        counts[c, m] += 1
+                    together[masks] += 1
                     draw = xxhash.xxh64_intdigest(f"{i}:{k}") / 2**64
                     likely = False
-                    for c, m in enumerate(masks):
+                    for c, m in enumerate(masks) if masks != NONE else ():
                         if m and believed(c, m) >= LIKELY:
                             likely = True
                             for v in range(m.bit_length()):
@@ -112,6 +119,10 @@ def survey(docs: DataFrame, id_column: str, text: str, sample: int, n_docs: int)
                                     by_voter.setdefault((c, v), []).append((draw, s, list(masks)))
                     if draw < share[likely]:
                         drawn.append(("likely" if likely else "other", None, None, None, draw, s, list(masks)))
+            counts: Counter = Counter()
+            for masks, n in together.items():
+                for c, m in enumerate(masks):
+                    counts[c, m] += n
             rows = [("count", c, m, n, None, None, None) for (c, m), n in counts.items()] + drawn
             rows += [("voter", c, v, None, *x) for (c, v), own in by_voter.items() for x in sorted(own)[:EACH]]
             yield pd.DataFrame(rows, columns=["kind", "category", "mask", "n", "draw", "segment", "votes"]).astype({"category": "Int32", "mask": "Int32", "n": "Int64"})

@@ -135,7 +135,7 @@ WINDOW = 24
 
 
 def _plurals(word: str) -> list[str]:
-    return [word] if not word.isascii() or word.endswith("s") else [word, word + ("es" if word.endswith(("sh", "ch", "x")) else "s")]
+    return [word] if not word.isascii() or word.endswith("s") else [word, word + "s", *([word + "es"] if word.endswith(("sh", "ch", "x")) else [])]
 
 
 NAMES = list(CLASSES)
