@@ -329,7 +329,7 @@ Voter = tuple
 _ABOUT_YOU: list[Voter] = [
     ("insult_at_you", STRONG, lambda s: s.near("you", "insult", 6)),
     ("contempt_and_insult", STRONG, lambda s: s.follows("contempt", "insult", 3) or s.near("curse", "insult", 2)),
-    ("contempt_at_you", EVEN, lambda s: s.near("you", "contempt", 3)),
+    ("contempt_at_you", EVEN, lambda s: s.near("you", "contempt", 2) or s.follows("you", "contempt", 4) and s.near("you", "are", 2)),
     ("contempt_twice", EVEN, lambda s: s.kinds("contempt", "insult") >= 2 and s.has("you"), "contempt_and_insult insult_at_you"),
     ("curse_at_you", EVEN, lambda s: s.near("curse", "you", 3) and not s.near("lust", "act", 9)),
     ("harm_announced", STRONG, lambda s: s.follows("will", "harm", 9) and s.has("you")),
