@@ -256,6 +256,60 @@ def test_consistent_table(spark):
     assert drift.consistent_table(files(spark, DRIFT), "nothing").count() == 0
 
 
+def odd_envelopes():
+    """name -> files of one topic: what a JSON reader, a key or a place in the log may look like."""
+    topic = "s.public.notes"
+    of = lambda f, kind=lambda i: i, key=lambda i: i: [{"note_id": key(i), f: kind(i)} for i in range(5)]
+    line = lambda after, **source: json.dumps({"after": after, "source": {"table": "notes", **source}})
+    spec = {
+        "keys that become text": (topic, [of("a"), of("b", key=str)]),
+        "unreadable line, other table": (topic + "_v2", [[line(x, ts_ms=1, lsn=n) for n, x in enumerate(of("a"))] + ["{bad"], [line(x, ts_ms=2, lsn=n) for n, x in enumerate(of("b"))]]),
+        "no readable line": (topic, [of("a"), ["{bad", "nope"], of("a")]),
+        "no number": (topic, [of("a"), ['{"source": {"ts_ms": 200, "lsn": 9, "table": "notes"}, "after": {"note_id": 9, "b": NaN}}']]),
+        "times as text": (topic, [[line(x, ts_ms=str(900 - k), lsn=str(n)) for n, x in enumerate(of(f))] for k, f in enumerate("ab")]),
+        "no place in the log": (topic, [[line({"note_id": 1, f: v}, ts_ms=k, **({"lsn": 5} if v < 2 else {})) for v in (1, 2)] + [line({"note_id": i, f: i}, ts_ms=k, lsn=6) for i in (3, 4)] for k, f in enumerate("ab")]),
+        "containers": (topic, [of("a", lambda i: {"x": {"y": i}}), of("b", lambda i: {"z": {"y": i}}), of("c", lambda i: [i, None]), of("d", lambda i: [i])]),
+        "wide numbers": (topic, [of("a", lambda i: 2**63 + i), of("a", lambda i: 2**70 + i)]),
+        "every kind": (topic, [of("a", lambda i: [1, 2.5, "x", True, [1]][i]), of("a", lambda i: None), of("a", str)]),
+    }
+    return {name: {topic: [(f"f{k}.json", 100 * (k + 1), images) for k, images in enumerate(fs)]} for name, (topic, fs) in spec.items()}
+
+
+@pytest.mark.parametrize("name", odd_envelopes())
+def test_drift_of_odd_envelopes_equals_sql(spark, tmp_path, name):
+    import duckdb
+
+    from veilstream.queries import drifting
+
+    files(spark, odd_envelopes()[name]).write.parquet(f"{tmp_path}/envelope_files.parquet")
+    c = duckdb.connect()
+    c.execute("SET TimeZone = 'UTC'")
+    c.execute(f"CREATE VIEW envelope_files AS SELECT * FROM '{tmp_path}/envelope_files.parquet/*.parquet'")
+    for query in ("p2_schema", "p2_found"):
+        got = sorted(str(tuple(r)) for r in drifting.QUERIES[query](spark, str(tmp_path)).collect())
+        assert got == sorted(map(str, c.execute(drifting.SQL[query]).fetchall())), query
+
+
+def test_the_kind_of_all_files_is_the_join_of_theirs(spark):
+    """The fold: kinds of a set of bits join to the kind of the bits together, whatever the order."""
+    chain = {None: 0, "whole number": 1, "number with fraction": 2}
+
+    def join(a, b):
+        if a is None or b is None or a == b:
+            return a or b
+        return "number with fraction" if a in chain and b in chain else "mixed"
+
+    kinds = {r.m: r.k for r in spark.range(128).select(F.col("id").alias("m"), drift.kind_of(F.col("id")).alias("k")).collect()}
+    assert all(kinds[a | b] == join(kinds[a], kinds[b]) for a in kinds for b in kinds)
+
+
+def test_consistent_table_loses_no_wide_number_and_no_line(spark):
+    spec = files(spark, odd_envelopes()["wide numbers"]).where("file_name = 'f0.json'")
+    lost = spark.createDataFrame([("s.public.notes", None, 9, datetime(2026, 1, 1), json.dumps({"after": {"note_id": 9, "a": 2}, "source": {"table": "notes"}}))], spec.schema)
+    t = drift.consistent_table(spec.unionByName(lost), "notes")
+    assert dict(t.dtypes)["a"] == "decimal(38,0)" and {int(r.a) for r in t.collect()} == {2, *range(2**63, 2**63 + 5)}
+
+
 def test_history_of_one_long_key(spark):
     """A key over many stretches, with runs that go on over their borders."""
     step = 1 << 31
