@@ -142,3 +142,25 @@ def test_one_text_under_two_keys(spark, model):
     found = pii.find(js, "id", "j", True, "x", model).count()
     [row] = pii.redact(js, "id", "j", True, model).collect()
     assert found >= 1 and json.loads(row.redacted)["b"] == {"name": "[NAME]"}
+
+
+def test_ordinary_words_are_those_of_all_rows(spark):
+    """A word is ordinary by all its cases, wherever they stand; the sample of 300 rows has few of them."""
+    body = lambda i: f"BP {i % 60 + 90}/80, called Anna Brenwick. Visit no. {i}."
+    rows = [(i, body(i)) for i in range(8000)] + [(8000 + i, f"the qat{chr(97 + i)}ol and Qat{chr(97 + i)}ol, again qat{chr(97 + i)}ol") for i in range(20)] + [(8100 + i, "Zymel. Zymel called") for i in range(3)]
+    rows += [(8200, "ALSO QATAOL AND RARIC"), (8201, "raric raric"), (8202, "lower onlysmall onlysmall"), (8203, None), (8204, "Dr. Ofek. Dr. Ofek. Dr. Ofek. Dr. Ofek. Dr. Ofek")]
+    df = spark.createDataFrame(rows, "id int, body string").repartition(4).cache()
+    people = spark.createDataFrame([(1, "Anna", "Brenwick")], "id int, first string, last string")
+    want = {f"qat{chr(97 + i)}ol" for i in range(20)} | {"bp", "visit", "and", "dr", "zymel", "raric"}
+    for sample in (300, 20_000):
+        assert pii.fit([(df, "id", "body", False)], [(people, ["first"], ["last"])], sample=sample).names.ordinary == want
+    assert pii.name_words([(df, "id", "body", False)], []).ordinary == want
+    whole = pii.ordinary_words([(t, "") for _, t in rows if t], pii.NameWords.learn(["Anna"], ["Brenwick"]))
+    assert want <= whole and "ofek" not in whole and "onlysmall" in whole
+
+
+def test_words_of_addresses_are_no_cases_of_ordinary_words():
+    texts = [f"Zorvale rang. Mail to {a} please" for a in ("zorvale@example.org", "zorvale_7@example.org", "anna.zorvale [at] example.org")] * 2
+    counts = pii.count_words({t: texts.count(t) for t in texts})
+    assert counts["zorvale"] == [0, 6, 6, 0] and counts["please"][0] == 6 and "example" not in counts
+    assert "zorvale" not in pii.ordinary_words([(f"Called Zorvale, {t[14:]}", "") for t in texts], pii.NameWords())

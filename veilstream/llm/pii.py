@@ -105,6 +105,10 @@ _ZONE = re.compile(r"\d(?:[ .\-/()]{0,3}\d){5,}")
 _AT = re.compile(r"[@＠]|\(at\)|\[at\]| at \w+(?: dot|\.\w)", re.I)
 _MAIL = re.compile(_SPAN["email"][0][1], re.I)
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
+#: What e-mail addresses and the names of hosts and accounts have in them.
+_JOINED = re.compile(r"[@＠]|[^\W_][._]\w")
+#: Where a word may start a sentence: first in a text, or after a dot or dash that is in no word.
+_START = re.compile(r"(?:\A|\.|(?<![^\W\d_])-|-(?=\s))\s*(?=[^\W\d_])")
 _GAP = re.compile(r"(?:,?[ ]{0,2}|[ ]{1,2}[^\W\d_]\.?[ ]{1,2})(?:(?<=[ ])(?:" + "|".join(sorted(PARTICLES)) + r")[ ]{1,2})*\Z", re.I)
 _INITIAL_BEFORE = re.compile(r"(?:^|[\s(/,:;])([^\W\d_]\.[ ]?)\Z")
 _INITIAL_AFTER = re.compile(r"[ ][^\W\d_]\.(?=\W|$)")
@@ -134,7 +138,7 @@ class NameWords:
     last: dict[str, int] = field(default_factory=dict)
     heads: set[str] = field(default_factory=set)
     tails: set[str] = field(default_factory=set)
-    #: Words of no name that the texts write small, or begin sentences with.
+    #: Words of no name that the texts write small, or often begin sentences with.
     ordinary: set[str] = field(default_factory=set)
 
     @classmethod
@@ -173,22 +177,41 @@ class _Blind(NameWords):
         return (0.0, 0.0) if self.held(w) else super().like(w)
 
 
-def ordinary_words(texts: list[tuple[str, str]], names: NameWords) -> set[str]:
-    """Words of no table that are in the sample twice in small letters (and in a fifth of all cases), or five times at a start of a sentence."""
-    small, large, starts = Counter(), Counter(), Counter()
-    for t, _ in texts:
-        if t.isupper():
-            continue
-        for m in _WORD.finditer(t):
-            w = m.group()
-            if w.islower():
-                small[w] += 1
-            else:
-                large[w := fold(w)] += 1
-                lead = t[max(0, m.start() - 20):m.start()].rstrip()
+#: Texts to a start of a sentence with a word, at most, that make it an ordinary one; five starts at least.
+TEXTS_A_START = 5000
+
+
+def count_words(texts: dict[str, int]) -> dict[str, list[int]]:
+    """Of each folded word of the texts (each with how often it stands): cases in small letters, in others, at starts of sentences, in texts in capitals.
+
+    Words of e-mail addresses and the like, which are small in names too, are no cases.
+    """
+    written, capitals, starts = Counter(), Counter(), Counter()
+    for t, n in texts.items():
+        to = capitals if t.isupper() else written
+        alone = " ".join(x for x in t.split() if not _JOINED.search(x)) if _JOINED.search(t) else t
+        for w in _WORD.findall(alone if to is written else t):
+            to[w] += n
+        if to is written:
+            for m in _START.finditer(t):
+                w = _WORD.match(t, m.end()).group()
                 # the dot of a title or an initial ends no sentence
-                starts[w] += lead[-1:] in ("", ".", "-") and not _ABBREVIATED.search(lead)
-    return {w for w in {*small, *starts} if (small[w] >= 2 and small[w] * 4 >= large[w] or starts[w] >= 5) and names.like(w) == (0.0, 0.0)}
+                if not w.islower() and not _ABBREVIATED.search(t[max(0, m.end() - 20):m.end()].rstrip()):
+                    starts[w] += n
+    out: dict[str, list[int]] = {}
+    for k, counts in enumerate((written, written, starts, capitals)):
+        for w, n in counts.items():
+            own = out.setdefault(fold(w), [0, 0, 0, 0])
+            if k > 1 or w.islower() == (k == 0):
+                own[k] += n
+    return out
+
+
+def ordinary_words(texts: list[tuple[str, str]], names: NameWords) -> set[str]:
+    """Of texts held in memory, the words of no table that stand twice in small letters (and in a fifth of all cases), or often at a start of a sentence; ``name_words`` counts those of tables."""
+    least = max(5, len(texts) / TEXTS_A_START)
+    counts = count_words(Counter(t for t, _ in texts))
+    return {w for w, (small, large, starts, _) in counts.items() if (small >= 2 and small * 4 >= large or starts >= least) and names.like(w) == (0.0, 0.0)}
 
 
 def words_of_name(name: str) -> list[str]:
@@ -632,15 +655,16 @@ def train(
     texts: list[tuple[str, str]], firsts: list[str] = (), lasts: list[str] = (), smooth: float = 2.0,
     names: NameWords | None = None, more: Callable[[list[str], NameWords], list[tuple[str, str]]] | None = None,
 ) -> PiiModel:
-    """Model from a bounded sample of texts and the words of names (``names``, or those of ``firsts`` and ``lasts``).
+    """Model from a bounded sample of texts and the words (``names`` of ``name_words``, or those of ``firsts``, ``lasts`` and the texts).
 
     How words in no table are judged by their context is learned by holding out half of the known words: what
     the rules call a name with them known is a name without, and every other such candidate is none.
     ``more`` gives further texts with clear findings of kinds that have less than ``FEW`` in the sample.  Kinds
     that are rarer still find all that the rules call clear, and leave only unclear candidates to their trees.
     """
-    names = NameWords.learn(firsts, lasts) if names is None else names
-    names.ordinary = ordinary_words(texts, names)
+    if names is None:
+        names = NameWords.learn(firsts, lasts)
+        names.ordinary = ordinary_words(texts, names)
     rows = labelled(texts, names)
 
     def lacking() -> list[str]:
@@ -732,12 +756,13 @@ def _replaced(x, done: dict[tuple[str, str], str], key: str):
 
 
 def name_words(texts: list[tuple[DataFrame, str, str, bool]], people: list[tuple]) -> NameWords:
-    """Words of all rows of the name columns, counted by Spark.
+    """Words of all rows of the name columns and ordinary words of all rows of the texts, counted by Spark.
 
     A person's frame has first-, last- and (if given) full-name columns; a full name's last word counts as a last
     name, or its first where a comma follows.  Only words that stand in the texts reach the driver, and beginnings
-    and endings that four last names share; so what is broadcast is bounded by the texts' distinct words that
-    are names and by the number of distinct last names, not by rows.
+    and endings that four last names share, and of ordinary words those that are written with a capital somewhere, as
+    no others are looked up; so what is broadcast is bounded by the texts' distinct words that
+    are names or ordinary and by the number of distinct last names, not by rows.
     """
 
     def counter(f: list[str], s: list[str], whole: list[str]):
@@ -766,8 +791,11 @@ def name_words(texts: list[tuple[DataFrame, str, str, bool]], people: list[tuple
     def words(column: str, is_json: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for p in batches:
-                raw = {w for t in p[column] if isinstance(t, str) for v, _ in values(t, is_json) for w in _WORD.findall(v)}
-                yield pd.DataFrame({"word": sorted({fold(w) for w in raw})}, dtype=str)
+                each = Counter()
+                for t, n in Counter(p[column]).items():
+                    for v, _ in values(t if isinstance(t, str) else None, is_json):
+                        each[v] += n
+                yield pd.DataFrame([("", 0, 0, each.total(), 0), *((w, *n) for w, n in count_words(each).items())], columns=["word", "small", "large", "starts", "capitals"])
 
         return run
 
@@ -776,14 +804,20 @@ def name_words(texts: list[tuple[DataFrame, str, str, bool]], people: list[tuple
         whole = whole[0] if whole else []
         own = df.select(*dict.fromkeys([*f, *s, *whole])).mapInPandas(counter(f, s, whole), "word string, f bigint, s bigint")
         counts = own if counts is None else counts.unionByName(own)
-    if counts is None:
-        return NameWords()
-    counts = cut(counts.groupBy("word").agg(F.sum("f").alias("f"), F.sum("s").alias("s")))
+    counts = cut(counts.groupBy("word").agg(F.sum("f").alias("f"), F.sum("s").alias("s"))) if counts is not None else None
     found = None
     for df, _, text, is_json in texts:
-        own = df.select(text).where(F.col(text).isNotNull()).mapInPandas(words(text, is_json), "word string")
+        own = df.select(text).where(F.col(text).isNotNull()).mapInPandas(words(text, is_json), "word string, small bigint, large bigint, starts bigint, capitals bigint")
         found = own if found is None else found.unionByName(own)
-    known = counts.join(found.distinct(), "word", "left_semi").collect() if found is not None else []
+    known, ordinary = [], set()
+    if found is not None:  # the empty word's starts are the number of texts
+        found = cut(found.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("small", "large", "starts", "capitals")]))
+        least = max(5, sum(r.starts for r in found.where("word = ''").collect()) / TEXTS_A_START)
+        often = found.where((F.col("small") >= 2) & (F.col("small") * 4 >= F.col("large")) | (F.col("starts") >= least)).where("word <> '' AND large + capitals > 0")
+        known = counts.join(found, "word", "left_semi").collect() if counts is not None else []
+        ordinary = {r.word for r in (often.join(counts, "word", "left_anti") if counts is not None else often).select("word").collect()}
+    if counts is None:
+        return NameWords(ordinary=ordinary)
 
     def edges(take) -> set[str]:
         pieces = F.array(*[F.when(F.length("word") > n + 2, take(n)) for n in range(3, 7)])
@@ -791,7 +825,9 @@ def name_words(texts: list[tuple[DataFrame, str, str, bool]], people: list[tuple
         return {r.piece for r in shared.where("count >= 4").collect()}
 
     heads, tails = edges(lambda n: F.substring("word", 1, n)), edges(lambda n: F.substring("word", -n, n))
-    return NameWords({r.word: r.f for r in known if r.f}, {r.word: r.s for r in known if r.s}, heads, tails)
+    names = NameWords({r.word: r.f for r in known if r.f}, {r.word: r.s for r in known if r.s}, heads, tails)
+    names.ordinary = {w for w in ordinary if names.like(w) == (0.0, 0.0)}
+    return names
 
 
 def clear_texts(texts: list[tuple[DataFrame, str, str, bool]], kinds: list[str], names: NameWords, most: int = 500) -> list[tuple[str, str]]:
@@ -824,7 +860,7 @@ def fit(texts: list[tuple[DataFrame, str, str, bool]], people: list[tuple], samp
 
     About ``sample`` rows a text table reach the driver (never more than twice that), chosen by a hash of their
     values, so the same rows on every run; fewer rows are all used.  From them words' and shapes' odds and trees
-    are learned; kinds with few clear findings there get more texts from all rows (``clear_texts``).  Words of names are those of all rows (``name_words``).  Without any text or name the model
+    are learned; kinds with few clear findings there get more texts from all rows (``clear_texts``).  Words of names and ordinary words are those of all rows (``name_words``).  Without any text or name the model
     finds nothing.
     """
 
